@@ -1,6 +1,6 @@
 """Importing this package registers every query."""
 
-from . import aggregates, scalars  # noqa: F401
+from . import aggregates, scalars, texts  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
