@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 
-import pandas as pd
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.ml.stat import Summarizer
@@ -67,13 +66,9 @@ def sparse_vectors(
 ) -> DataFrame:
     """Long weights to one sparse vector per document."""
 
-    @F.pandas_udf(VectorUDT())
-    def assemble(cells: pd.Series) -> pd.Series:
-        def one(row):
-            pairs = sorted((int(c["index"]), float(c["weight"])) for c in row)
-            return SparseVector(size, [i for i, _ in pairs], [w for _, w in pairs])
-
-        return cells.map(one)
+    @F.udf(VectorUDT())
+    def assemble(cells):
+        return SparseVector(size, {c["index"]: c["weight"] for c in cells})
 
     placed = long.join(F.broadcast(index.select("term", "index")), "term")
     cells = placed.groupBy(id_col).agg(F.collect_list(F.struct("index", "weight")).alias("_cells"))
@@ -104,8 +99,8 @@ def train_word2vec(
     df: DataFrame, tokens: str, size: int = 128, window: int = 5, min_count: int = 1,
     epochs: int = 10, seed: int = 42, partitions: int = 1,
 ):
-    """Skip-gram word vectors. The model lives on the driver, so raise ``min_count`` until
-    the vocabulary fits; subword training bounds it by the bucket count instead."""
+    """Skip-gram word vectors. The model, vocabulary x size, lives on the driver: raise
+    ``min_count`` with the corpus, and give rarer words their vectors by ``subword_pool``."""
     return Word2Vec(
         vectorSize=size, windowSize=window, minCount=min_count, maxIter=epochs, seed=seed,
         numPartitions=partitions, inputCol=tokens, outputCol="features",
@@ -143,34 +138,30 @@ def _zero_filled(ids: DataFrame, pooled: DataFrame, id_col: str, size: int, out:
     return joined.select(id_col, F.coalesce(F.col(out), zero).alias(out))
 
 
-def _gram_bucket(gram: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(gram), F.lit(buckets)).cast("string")
-
-
 def subword_buckets(token: Column, low: int, high: int, buckets: int) -> Column:
-    return F.transform(char_ngrams(token, low, high), lambda g: _gram_bucket(g, buckets))
+    """Hash buckets of the token's boundary-marked character n-grams."""
+    return F.transform(
+        char_ngrams(token, low, high),
+        lambda g: F.pmod(F.xxhash64(g), F.lit(buckets)).cast("int"),
+    )
 
 
-def train_subwords(
-    df: DataFrame, tokens: str, size: int = 128, window: int = 5, epochs: int = 10,
-    low: int = 3, high: int = 6, buckets: int = 1 << 16, seed: int = 42, partitions: int = 1,
-):
-    """Word2Vec over hashed character n-grams: at most ``buckets`` vectors, whatever the corpus."""
-    grams = df.select(
-        F.flatten(
-            F.transform(tokens, lambda w: subword_buckets(w, low, high, buckets))
-        ).alias("_grams")
-    )
-    return train_word2vec(grams, "_grams", size, window, 1, epochs, seed, partitions)
+def subword_vectors(
+    words: DataFrame, low: int = 3, high: int = 6, buckets: int = 1 << 16
+) -> DataFrame:
+    """(bucket, vector): each n-gram bucket is the mean vector of the trained words holding it.
+
+    ``words`` holds (word, vector). The result has at most ``buckets`` rows whatever the corpus.
+    """
+    grams = words.select("vector", F.explode(subword_buckets(F.col("word"), low, high, buckets)).alias("bucket"))
+    return grams.groupBy("bucket").agg(Summarizer.mean(F.col("vector")).alias("vector"))
 
 
 def subword_pool(
-    df: DataFrame, id_col: str, tokens: Column, model, low: int = 3, high: int = 6,
-    buckets: int = 1 << 16, out: str = "features",
+    df: DataFrame, id_col: str, tokens: Column, vectors: DataFrame, size: int, low: int = 3,
+    high: int = 6, buckets: int = 1 << 16, out: str = "features",
 ) -> DataFrame:
     """Document mean of token vectors, each the mean of its n-grams, so unseen words count too."""
-    size = model.getVectorSize()
-    vectors = model.getVectors().withColumnRenamed("word", "bucket")
     counts = term_counts(df, id_col, tokens)
     grams = counts.withColumn("_g", subword_buckets(F.col("term"), low, high, buckets))
     weighted = grams.where(F.size("_g") > 0).select(
