@@ -1,6 +1,6 @@
 """Importing this package registers every query."""
 
-from . import aggregates, graphs, models, scalars, texts  # noqa: F401
+from . import aggregates, graphs, models, scalars, stages, texts  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -437,7 +437,7 @@ def _(t: Tables):
 def _tfidf(t: Tables, size: int = 8000):
     long = ft.tfidf_long(t.documents, "doc_id", "text", max_features=size)
     index = ft.term_index(long.select("term").distinct())
-    return ft.sparse_vectors(long, "doc_id", index, size)
+    return ft.sparse_vectors(long, t.documents, "doc_id", index, size)
 
 
 @query("e2_word2vec")
@@ -534,7 +534,7 @@ def _(t: Tables):
     n_train = int(t.documents.count() * 0.8)
     results = []
     for name, (vectors, width) in blocks.items():
-        models = cl.standard_models(width, 4, n_train, rounds=1, max_iter=5)
+        models = cl.standard_models(width, 4, n_train, rounds=1, depth=3, max_iter=5)
         models["Perceptron"] = lambda width=width: cl.perceptron(width, 4, hidden=(32,), max_iter=20)
         results.append(cl.run_block(name, _dataset(t, vectors), "doc_id", models, 4))
     return reduce(lambda a, b: a.unionByName(b), results)

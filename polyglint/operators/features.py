@@ -62,17 +62,18 @@ def term_index(vocab: DataFrame) -> DataFrame:
 
 
 def sparse_vectors(
-    long: DataFrame, id_col: str, index: DataFrame, size: int, out: str = "features"
+    long: DataFrame, ids: DataFrame, id_col: str, index: DataFrame, size: int, out: str = "features"
 ) -> DataFrame:
-    """Long weights to one sparse vector per document."""
+    """Long weights to one sparse vector per row of ``ids``; a document without terms gets zeros."""
 
     @F.udf(VectorUDT())
     def assemble(cells):
-        return SparseVector(size, {c["index"]: c["weight"] for c in cells})
+        return SparseVector(size, {c["index"]: c["weight"] for c in cells or ()})
 
     placed = long.join(F.broadcast(index.select("term", "index")), "term")
     cells = placed.groupBy(id_col).agg(F.collect_list(F.struct("index", "weight")).alias("_cells"))
-    return cells.select(id_col, assemble("_cells").alias(out))
+    joined = ids.select(id_col).join(cells, id_col, "left")
+    return joined.select(id_col, assemble("_cells").alias(out))
 
 
 def density_report(long: DataFrame, id_col: str, n_docs: Column) -> DataFrame:
