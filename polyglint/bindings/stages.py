@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from ..plans import dashboard as db
 from ..plans import stages as st
+from ..session import scratch_path
+from ..sources import files
 from .aggregates import rounded, tier_sql
 from .registry import Tables, query
 from .scalars import _WORDS_SQL, human_sql
@@ -88,7 +90,10 @@ def _(t: Tables):
 
 def _board(t: Tables):
     """The dashboard frame, narrowed to two labels and three years."""
-    d = st.dashboard_stage(st.feature_stage(records(t)).withColumn("eff_lang", F.substring("language", 1, 2)))
+    path = scratch_path(t.spark, "dashboard")
+    features = st.feature_stage(records(t)).withColumn("eff_lang", F.substring("language", 1, 2))
+    files.write_parquet(st.dashboard_stage(features), path)
+    d = files.read_parquet(t.spark, path)
     return db.select(d, sentiments=["positive", "negative"], years=(2018, 2020))
 
 

@@ -3,7 +3,7 @@ except ``nfc``, which has no built-in counterpart."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -19,6 +19,15 @@ BLANK = r"[\s\x1C-\x1F]"
 WORD = r"[\p{L}\p{N}_]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    A column expression named twice, or inside a lambda that runs per element, is otherwise
+    computed at every mention.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(text: Column) -> Column:
     """Trim every kind of Unicode blank at both ends."""
     head = F.regexp_replace(text, F.lit(rf"(?U)^{BLANK}+"), F.lit(""))
@@ -160,9 +169,8 @@ def drop_stopwords(
     table = STOPWORDS if stopwords is None else stopwords
     english = sorted(table.get("en", ()))
     keyed = sorted(f"{code} {w}" for code, ws in table.items() if code != "en" for w in ws)
-    code = or_empty(lang)
 
-    def keep(token: Column) -> Column:
+    def keep(token: Column, code: Column) -> Column:
         ok = F.length(token) > 1
         if english:
             ok = ok & ~token.isin(english)
@@ -170,7 +178,8 @@ def drop_stopwords(
             ok = ok & ~F.concat(code, F.lit(" "), token).isin(keyed)
         return ok
 
-    return F.filter(tokens, keep)
+    row = F.struct(or_empty(lang).alias("code"), tokens.alias("tokens"))
+    return let(row, lambda r: F.filter(r["tokens"], lambda w: keep(w, r["code"])))
 
 
 def stopword_set(lang: Column, stopwords: Mapping[str, Sequence[str]] | None = None) -> Column:
@@ -216,16 +225,23 @@ def script_language(text: Column) -> Column:
 
     Equal counts go to the script seen first in the text.
     """
-    body = or_empty(text)
-    scored = []
-    for code, (lo, hi) in SCRIPT_BLOCKS.items():
-        block = rf"[\x{{{lo:04X}}}-\x{{{hi:04X}}}]"
-        hits = F.length(body) - F.length(F.regexp_replace(body, F.lit(block), F.lit("")))
-        first = F.regexp_instr(body, F.lit(block))
-        scored.append(F.struct(hits.alias("hits"), (-first).alias("early"), F.lit(code).alias("lang")))
-    best = F.greatest(*scored)
-    has_indic = body.rlike(r"[\x{0900}-\x{0D7F}]")
-    return F.when(has_indic & (best["hits"] >= SCRIPT_MIN_CHARS), best["lang"])
+
+    def best(body: Column) -> Column:
+        scored = []
+        for code, (lo, hi) in SCRIPT_BLOCKS.items():
+            block = rf"[\x{{{lo:04X}}}-\x{{{hi:04X}}}]"
+            hits = F.length(body) - F.length(F.regexp_replace(body, F.lit(block), F.lit("")))
+            first = F.regexp_instr(body, F.lit(block))
+            scored.append(
+                F.struct(hits.alias("hits"), (-first).alias("early"), F.lit(code).alias("lang"))
+            )
+        return F.greatest(*scored)
+
+    def decide(body: Column) -> Column:
+        winner = let(best(body), lambda b: F.when(b["hits"] >= SCRIPT_MIN_CHARS, b["lang"]))
+        return F.when(body.rlike(r"[\x{0900}-\x{0D7F}]"), winner)
+
+    return let(or_empty(text), decide)
 
 
 def effective_language(stored: Column, text: Column, default: str = "en") -> Column:
@@ -246,8 +262,13 @@ def unique_word_count(text: Column) -> Column:
 
 
 def lexical_diversity(text: Column) -> Column:
-    total = word_count(text)
-    return F.when(total > 0, unique_word_count(text) / total).otherwise(F.lit(0.0))
+    return let(words(text), token_diversity)
+
+
+def token_diversity(tokens: Column) -> Column:
+    """Distinct share of the tokens, 0 for none."""
+    distinct = F.size(F.array_distinct(tokens))
+    return F.when(F.size(tokens) > 0, distinct / F.size(tokens)).otherwise(F.lit(0.0))
 
 
 def vector_tokens(text: Column) -> Column:
@@ -257,25 +278,30 @@ def vector_tokens(text: Column) -> Column:
 
 def bigrams(tokens: Column) -> Column:
     """Neighbouring token pairs joined by a blank."""
-    pairs = F.zip_with(
-        F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(0))),
-        F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0))),
-        lambda a, b: F.concat(a, F.lit(" "), b),
-    )
-    return F.when(F.size(tokens) > 1, pairs).otherwise(F.array().cast("array<string>"))
+    return let(tokens, _pairs)
 
 
 def uni_and_bigrams(tokens: Column) -> Column:
-    return F.concat(tokens, bigrams(tokens))
+    return let(tokens, lambda ts: F.concat(ts, _pairs(ts)))
+
+
+def _pairs(tokens: Column) -> Column:
+    last = F.greatest(F.size(tokens) - 1, F.lit(0))
+    return F.zip_with(
+        F.slice(tokens, F.lit(1), last), F.slice(tokens, F.lit(2), last),
+        lambda a, b: F.concat(a, F.lit(" "), b),
+    )
 
 
 def char_ngrams(token: Column, low: int = 3, high: int = 6) -> Column:
     """Character n-grams of ``<token>`` with boundary marks, low to high characters long."""
-    marked = F.concat(F.lit("<"), token, F.lit(">"))
 
-    def grams(n: int) -> Column:
+    def grams(marked: Column, n: int) -> Column:
         starts = F.sequence(F.lit(1), F.length(marked) - (n - 1))
         cut = F.transform(starts, lambda i: marked.substr(i, F.lit(n)))
         return F.when(F.length(marked) >= n, cut).otherwise(F.array().cast("array<string>"))
 
-    return F.concat(*[grams(n) for n in range(low, high + 1)])
+    return let(
+        F.concat(F.lit("<"), token, F.lit(">")),
+        lambda marked: F.concat(*[grams(marked, n) for n in range(low, high + 1)]),
+    )

@@ -128,20 +128,40 @@ def tier_by_quantile(
     missing values included, is the middle class. The cutoffs reach the rows as a scalar
     subquery, so the rows are not moved.
     """
-    low_name, mid_name, high_name = names
-    cut = exact_quantiles(df, value, probs).select("quantiles").scalar()
-    seen = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
-    return df.withColumn(
-        out,
-        F.when(seen & (F.col(value) >= cut[1]), high_name)
-        .when(seen & (F.col(value) < cut[0]), low_name)
-        .otherwise(mid_name),
-    )
+    return tiers_by_quantile(df, {out: (value, names)}, probs)
+
+
+def tiers_by_quantile(
+    df: DataFrame, tiers: dict[str, tuple[str, tuple[str, str, str]]],
+    probs: tuple[float, float] = TIER_QUANTILES,
+) -> DataFrame:
+    """Several ``tier_by_quantile`` columns, {out: (value, (low, mid, high))}, in one pass.
+
+    All cutoffs are taken from ``df`` itself, so the plans stand side by side, not nested.
+    """
+    cuts = {out: exact_quantiles(df, value, probs).select("quantiles").scalar().alias(f"_cut_{out}")
+            for out, (value, _) in tiers.items()}
+    labelled = df.select("*", *cuts.values())
+    for out, (value, (low, mid, high)) in tiers.items():
+        cut = F.col(f"_cut_{out}")
+        seen = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
+        labelled = labelled.withColumn(
+            out,
+            F.when(seen & (F.col(value) >= cut[1]), high)
+            .when(seen & (F.col(value) < cut[0]), low)
+            .otherwise(mid),
+        )
+    return labelled.drop(*[f"_cut_{out}" for out in tiers])
+
+
+# Class names of the label and of the tier.
+SENTIMENTS = ("negative", "neutral", "positive")
+TIERS = ("low", "medium", "high")
 
 
 def engagement_label(df: DataFrame, ratio: str, out: str = "sentiment_label") -> DataFrame:
     """Label derived from the like ratio: it tells engagement apart, not opinion."""
-    return tier_by_quantile(df, ratio, out, ("negative", "neutral", "positive"))
+    return tier_by_quantile(df, ratio, out, SENTIMENTS)
 
 
 def group_means(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
@@ -316,17 +336,22 @@ def histogram(
     x = F.col(value).cast("double")
     x = log_plus_one(x) if log else x
     src = df.select(*by, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    ends = src.agg(F.struct(F.min("_x").alias("low"), F.max("_x").alias("high")).alias("e")).scalar()
-    width = (ends["high"] - ends["low"]) / bins
-    cell = F.least(F.floor((F.col("_x") - ends["low"]) / F.when(width > 0, width)), F.lit(bins - 1))
-    placed = src.select(
-        *by, F.coalesce(cell, F.lit(0)).cast("int").alias("bin"),
+    low, high = F.min("_x"), F.max("_x")
+    ends = src.agg(F.struct(low.alias("low"), ((high - low) / bins).alias("width"))).scalar()
+    width = F.col("_e.width")
+    cell = F.least(
+        F.floor((F.col("_x") - F.col("_e.low")) / F.when(width > 0, width)), F.lit(bins - 1)
+    )
+    counts = (
+        src.withColumn("_e", ends)
+        .select(*by, F.coalesce(cell, F.lit(0)).cast("int").alias("bin"), "_e")
+        .groupBy(*by, "bin", "_e")
+        .agg(F.count(F.lit(1)).alias("count"))
     )
-    counts = placed.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("count"))
     return counts.select(
         *by, "bin",
-        (ends["low"] + F.col("bin") * width).alias("bin_start"),
-        (ends["low"] + (F.col("bin") + 1) * width).alias("bin_end"),
+        (F.col("_e.low") + F.col("bin") * width).alias("bin_start"),
+        (F.col("_e.low") + (F.col("bin") + 1) * width).alias("bin_end"),
         "count",
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import char_ngrams, uni_and_bigrams, vector_tokens
+from ..functions.text import char_ngrams, let, uni_and_bigrams, vector_tokens
 from .aggregates import top_groups
 from .ordered import lookup
 
@@ -20,9 +20,9 @@ from .ordered import lookup
 def term_counts(df: DataFrame, id_col: str, terms: Column) -> DataFrame:
     """(id, term, tf). Documents are placed by id once; counting and any later step that
     groups by id stay on that placement. Ids must be unique."""
-    placed = df.select(id_col, terms.alias("_terms")).repartition(id_col)
     return (
-        placed.select(id_col, F.explode("_terms").alias("term"))
+        df.repartition(id_col)
+        .select(id_col, F.explode(terms).alias("term"))
         .groupBy(id_col, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -202,9 +202,16 @@ def encode_labels(df: DataFrame, label: str, out: str, fill: str = "neutral") ->
 
 def l2_normalise(vector: Column) -> Column:
     """Array scaled to unit length; the zero array stays zero."""
-    values = F.transform(vector, lambda v: v.cast("double"))
-    norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v * v))
-    return F.when(norm > 0, F.transform(values, lambda v: v / norm)).otherwise(values)
+
+    def norm(values: Column) -> Column:
+        return F.sqrt(F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v * v))
+
+    def scaled(values: Column) -> Column:
+        return let(
+            norm(values), lambda n: F.transform(values, lambda v: F.when(n > 0, v / n).otherwise(v))
+        )
+
+    return let(F.transform(vector, lambda v: v.cast("double")), scaled)
 
 
 def pick_embedding(df: DataFrame, preferred: str = "dense", fallback: str = "tfidf") -> str:
@@ -214,9 +221,15 @@ def pick_embedding(df: DataFrame, preferred: str = "dense", fallback: str = "tfi
 
 def softmax(margins: Column) -> Column:
     """Max-shifted softmax of an array of margins."""
-    shifted = F.transform(margins, lambda v: F.exp(v - F.array_max(margins)))
-    total = F.aggregate(shifted, F.lit(0.0), lambda acc, v: acc + v)
-    return F.transform(shifted, lambda v: v / total)
+
+    def shares(weights: Column) -> Column:
+        total = F.aggregate(weights, F.lit(0.0), lambda acc, v: acc + v)
+        return let(total, lambda n: F.transform(weights, lambda v: v / n))
+
+    def powers(ms: Column) -> Column:
+        return let(F.array_max(ms), lambda top: F.transform(ms, lambda v: F.exp(v - top)))
+
+    return let(let(margins, powers), shares)
 
 
 def argmax(scores: Column) -> Column:

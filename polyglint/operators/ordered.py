@@ -21,34 +21,31 @@ def _squash(value: Column) -> Column:
     return F.signum(value) * F.log1p(F.abs(value))
 
 
-def _bucket(value: Column, low: Column, high: Column, buckets: int) -> Column:
-    width = _squash(high) - _squash(low)
-    share = (_squash(value) - _squash(low)) / F.when(width > 0, width)
-    return F.coalesce(
-        F.least(F.floor(share * buckets), F.lit(buckets - 1)), F.lit(0)
-    ).cast("int")
+def _scale(value: str, buckets: int) -> Column:
+    """Start and buckets per unit of a group's squashed range, as one aggregate."""
+    low, high = _squash(F.min(value)), _squash(F.max(value))
+    return F.struct(low.alias("low"), (buckets / F.when(high > low, high - low)).alias("per"))
 
 
 def with_buckets(df: DataFrame, value: str, by: Sequence[str], buckets: int) -> DataFrame:
-    """Add ``_bucket``: order-preserving equal-width cells between each group's extremes."""
+    """Add ``_bucket``: order-preserving equal-width cells between each group's extremes.
+
+    The scale is referenced through one column: repeating a scalar subquery in an expression
+    would plan its whole input again each time.
+    """
     if by:
-        span = df.groupBy(*by).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
-        # Keys are compared null-safe, so a null group keeps its rows.
-        keyed = span.select(*[F.col(c).alias(f"_k_{c}") for c in by], "_low", "_high")
+        scales = df.groupBy(*by).agg(_scale(value, buckets).alias("_scale"))
+        keyed = scales.select(*[F.col(c).alias(f"_k_{c}") for c in by], "_scale")
         on = None
-        for c in by:
+        for c in by:  # null-safe, so a null group keeps its rows
             same = df[c].eqNullSafe(keyed[f"_k_{c}"])
             on = same if on is None else on & same
-        spanned = df.join(keyed, on).drop(*[f"_k_{c}" for c in by])
-        low, high = F.col("_low"), F.col("_high")
+        scaled = df.join(keyed, on).drop(*[f"_k_{c}" for c in by])
     else:
-        ends = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("e"))
-        spanned = df
-        cell = ends.scalar()
-        low, high = cell["low"], cell["high"]
-    return spanned.withColumn("_bucket", _bucket(F.col(value), low, high, buckets)).drop(
-        "_low", "_high"
-    )
+        scaled = df.withColumn("_scale", df.agg(_scale(value, buckets).alias("_scale")).scalar())
+    cell = F.floor((_squash(F.col(value)) - F.col("_scale.low")) * F.col("_scale.per"))
+    cell = F.least(F.coalesce(cell, F.lit(0)), F.lit(buckets - 1)).cast("int")
+    return scaled.withColumn("_bucket", cell).drop("_scale")
 
 
 def exact_quantiles(

@@ -192,12 +192,13 @@ def spectral_layout(edges: DataFrame, rounds: int = 5, steps: int = 3) -> DataFr
 
 def _orthonormal(state: DataFrame) -> DataFrame:
     d, a, b = F.col("deg"), F.col("a"), F.col("b")
-    moments = state.agg(
+    sums = state.agg(
         F.struct(
             F.sum(d).alias("n"), F.sum(d * a).alias("a"), F.sum(d * b).alias("b"),
             F.sum(d * a * a).alias("aa"), F.sum(d * a * b).alias("ab"), F.sum(d * b * b).alias("bb"),
         )
     ).scalar()
+    moments = F.col("_m")
     mean_a, mean_b = moments["a"] / moments["n"], moments["b"] / moments["n"]
     aa = moments["aa"] - moments["a"] * mean_a
     ab = moments["ab"] - moments["a"] * mean_b
@@ -206,7 +207,7 @@ def _orthonormal(state: DataFrame) -> DataFrame:
     rest = F.sqrt(F.greatest(bb - ab * lean, F.lit(1e-300)))
     first = (a - mean_a) / F.sqrt(F.greatest(aa, F.lit(1e-300)))
     second = ((b - mean_b) - lean * (a - mean_a)) / rest
-    return state.select("id", "deg", first.alias("a"), second.alias("b"))
+    return state.withColumn("_m", sums).select("id", "deg", first.alias("a"), second.alias("b"))
 
 
 def labelled_coordinates(

@@ -5,13 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import numbers as num
 from ..functions import text as tx
-from ..operators.aggregates import engagement_label, tier_by_quantile
+from ..operators.aggregates import SENTIMENTS, TIERS, tiers_by_quantile
 from ..operators.filters import between, keep_min_tokens, keep_nonblank
 from ..operators.ordered import exact_sample
 from ..sources.schemas import ALWAYS_NULL, DASHBOARD_COLUMNS
@@ -47,24 +47,36 @@ def feature_stage(raw: DataFrame) -> DataFrame:
         F.year("published_at").alias("publish_year"),
         F.month("published_at").alias("publish_month"),
     )
-    df = engagement_label(df, "like_view_ratio")
-    return tier_by_quantile(df, "engagement_score", "engagement_tier")
+    return tiers_by_quantile(
+        df,
+        {
+            "sentiment_label": ("like_view_ratio", SENTIMENTS),
+            "engagement_tier": ("engagement_score", TIERS),
+        },
+    )
 
 
 def clean_stage(
     features: DataFrame, stopwords: Mapping[str, Sequence[str]] | None = None, min_tokens: int = 2
 ) -> DataFrame:
     """Effective language, cleaned text and lexical features; rows with too few tokens leave."""
-    df = features.withColumn("eff_lang", tx.effective_language(F.col("language"), F.col("combined_text")))
-    tokens = tx.clean_tokens(tx.nfc(F.col("combined_text")), F.col("eff_lang"), stopwords)
-    df = df.withColumn("clean_text", F.array_join(tokens, " "))
-    clean = F.col("clean_text")
-    df = df.select(
-        "*", tx.word_count(clean).alias("clean_word_count"), tx.char_count(clean).alias("clean_char_count"),
-        tx.unique_word_count(clean).alias("unique_word_count"),
-        tx.lexical_diversity(clean).alias("lexical_diversity"),
+    text = F.col("combined_text")
+    df = _once(features, tx.effective_language(F.col("language"), text).alias("eff_lang"))
+    df = _once(df, tx.clean_tokens(tx.nfc(text), F.col("eff_lang"), stopwords).alias("_tokens"))
+    df = _once(df, F.array_join("_tokens", " ").alias("clean_text"), F.size("_tokens").alias("clean_word_count"))
+    kept = keep_min_tokens(df, "clean_word_count", min_tokens)
+    return kept.select(
+        *[c for c in kept.columns if c != "_tokens"],
+        tx.char_count(F.col("clean_text")).alias("clean_char_count"),
+        F.size(F.array_distinct("_tokens")).alias("unique_word_count"),
+        tx.token_diversity(F.col("_tokens")).alias("lexical_diversity"),
     )
-    return keep_min_tokens(df, "clean_word_count", min_tokens)
+
+
+def _once(df: DataFrame, *cols: Column) -> DataFrame:
+    """Add columns through a generator, so that later filters and projections read their values
+    and do not compute the expressions again."""
+    return df.select("*", F.inline(F.array(F.struct(*cols))))
 
 
 def corpus(clean: DataFrame, n: int | None = 20000, seed: int = 42) -> DataFrame:
