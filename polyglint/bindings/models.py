@@ -83,9 +83,11 @@ _LANGS = ["de", "en", "es", "fr"]
 
 def _votes(t: Tables):
     """Language voted by the share of each language's stopwords in the text."""
+    def shares(tokens):
+        return F.array(F.struct(*[_hits(tokens, c).alias(f"s_{c}") for c in _LANGS]))
+
     tokens = tx.vector_tokens(F.col("text"))
-    share = [_hits(tokens, c).alias(f"s_{c}") for c in _LANGS]
-    scored = t.documents.select("doc_id", "lang", *share)
+    scored = t.documents.select("doc_id", "lang", F.inline(tx.let(tokens, shares)))
     best = F.greatest(*[F.struct(F.col(f"s_{c}").alias("s"), F.lit(-i).alias("o"), F.lit(c).alias("c"))
                         for i, c in enumerate(_LANGS)])
     return scored.withColumn("predicted", best["c"])

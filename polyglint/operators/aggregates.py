@@ -339,12 +339,11 @@ def histogram(
     low, high = F.min("_x"), F.max("_x")
     ends = src.agg(F.struct(low.alias("low"), ((high - low) / bins).alias("width"))).scalar()
     width = F.col("_e.width")
-    cell = F.least(
-        F.floor((F.col("_x") - F.col("_e.low")) / F.when(width > 0, width)), F.lit(bins - 1)
-    )
+    cell = F.floor((F.col("_x") - F.col("_e.low")) / F.when(width > 0, width))
+    cell = F.least(F.coalesce(cell, F.lit(0)), F.lit(bins - 1)).cast("int")
     counts = (
         src.withColumn("_e", ends)
-        .select(*by, F.coalesce(cell, F.lit(0)).cast("int").alias("bin"), "_e")
+        .select(*by, cell.alias("bin"), "_e")
         .groupBy(*by, "bin", "_e")
         .agg(F.count(F.lit(1)).alias("count"))
     )
