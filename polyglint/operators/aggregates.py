@@ -97,7 +97,7 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = exact_quantiles(long, "value", (0.25, 0.5, 0.75), by=["metric"])
+    quartiles = exact_quantiles(long, "value", (0.25, 0.5, 0.75), by=["metric"], few_groups=True)
     q = F.col("quantiles")
     return moments.join(quartiles.drop("n"), "metric").select(
         "metric", "count", "mean", "std", "min",
@@ -367,7 +367,7 @@ def box_stats(df: DataFrame, group: str, value: str, k: int = 10) -> DataFrame:
     tops = F.broadcast(top_groups(df, group, k).select(group))
     kept = df.select(group, F.col(value).cast("double").alias("_v")).join(tops, group, "left_semi")
     kept = kept.where(F.col("_v").isNotNull())
-    q = exact_quantiles(kept, "_v", (0.25, 0.5, 0.75), by=[group]).select(
+    q = exact_quantiles(kept, "_v", (0.25, 0.5, 0.75), by=[group], few_groups=True).select(
         group, F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("median"),
         F.col("quantiles")[2].alias("q3"),
     )
@@ -430,9 +430,10 @@ def monthly_counts(
     one row per label, 0 where nothing was seen.
     """
     month = F.to_date(F.trunc(F.col(moment).cast("date"), "month"))
+    since = F.lit(f"{since_year}-01-01 00:00:00").cast(df.schema[moment].dataType)
     seen = (
-        df.select(month.alias("month"), F.col(label))
-        .where((F.col("month") >= F.lit(f"{since_year}-01-01").cast("date")))
+        df.where(F.col(moment) >= since)  # on the stored column, so it reaches the scan
+        .select(month.alias("month"), F.col(label))
         .na.drop()
         .groupBy("month", label)
         .agg(F.count(F.lit(1)).alias("count"))

@@ -21,28 +21,16 @@ def _squash(value: Column) -> Column:
     return F.signum(value) * F.log1p(F.abs(value))
 
 
-def _scale(value: str, buckets: int) -> Column:
-    """Start and buckets per unit of a group's squashed range, as one aggregate."""
-    low, high = _squash(F.min(value)), _squash(F.max(value))
-    return F.struct(low.alias("low"), (buckets / F.when(high > low, high - low)).alias("per"))
-
-
-def with_buckets(df: DataFrame, value: str, by: Sequence[str], buckets: int) -> DataFrame:
-    """Add ``_bucket``: order-preserving equal-width cells between each group's extremes.
+def with_buckets(df: DataFrame, value: str, buckets: int) -> DataFrame:
+    """Add ``_bucket``: order-preserving equal-width cells between the extremes of the column.
 
-    The scale is referenced through one column: repeating a scalar subquery in an expression
-    would plan its whole input again each time.
+    Groups share one scale, so no row has to meet its group's extremes in a join. The scale is
+    named through one column: repeating a scalar subquery in an expression would plan its
+    whole input again each time.
     """
-    if by:
-        scales = df.groupBy(*by).agg(_scale(value, buckets).alias("_scale"))
-        keyed = scales.select(*[F.col(c).alias(f"_k_{c}") for c in by], "_scale")
-        on = None
-        for c in by:  # null-safe, so a null group keeps its rows
-            same = df[c].eqNullSafe(keyed[f"_k_{c}"])
-            on = same if on is None else on & same
-        scaled = df.join(keyed, on).drop(*[f"_k_{c}" for c in by])
-    else:
-        scaled = df.withColumn("_scale", df.agg(_scale(value, buckets).alias("_scale")).scalar())
+    low, high = _squash(F.min(value)), _squash(F.max(value))
+    per = (buckets / F.when(high > low, high - low)).alias("per")
+    scaled = df.withColumn("_scale", df.agg(F.struct(low.alias("low"), per)).scalar())
     cell = F.floor((_squash(F.col(value)) - F.col("_scale.low")) * F.col("_scale.per"))
     cell = F.least(F.coalesce(cell, F.lit(0)), F.lit(buckets - 1)).cast("int")
     return scaled.withColumn("_bucket", cell).drop("_scale")
@@ -54,12 +42,17 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     buckets: int = 65536,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Linearly interpolated exact quantiles, per group when ``by`` is given.
 
     Returns the ``by`` columns, ``n`` (non-null values) and ``quantiles``, an array aligned
     with ``probs``. NaN counts as missing. The input is scanned three times, each time only
     for the key and value columns; every shuffle carries pre-aggregated cells.
+
+    ``few_groups`` promises a bounded number of groups (columns of a report, the top k): the
+    wanted cells are then broadcast and rows outside them never leave their task. Otherwise
+    equal values are counted first, so that a hot group or value collapses before it moves.
     """
     by = list(by)
     clean = F.col(value).cast("double")
@@ -67,7 +60,7 @@ def exact_quantiles(
         df.select(*by, clean.alias("_v"))
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     )
-    cells = with_buckets(src, "_v", by, buckets)
+    cells = with_buckets(src, "_v", buckets)
 
     hist = cells.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
     ordered = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -91,19 +84,25 @@ def exact_quantiles(
         .where(F.size("_wanted") > 0)
         .select(*by, "_bucket", "_n", "_before", "_wanted")
     )
-    if not by:
-        # At most two buckets per quantile, whatever the data.
-        picked = F.broadcast(picked)
-    renamed = picked.select(*[F.col(c).alias(f"_k_{c}") for c in by],
-                            F.col("_bucket").alias("_kb"), "_n", "_before", "_wanted")
-    on = cells["_bucket"] == renamed["_kb"]
-    for c in by:
-        on = on & cells[c].eqNullSafe(renamed[f"_k_{c}"])
-    counted = (
-        cells.join(renamed, on)
-        .groupBy(*by, "_bucket", "_v", "_n", "_before", "_wanted")
-        .agg(F.count(F.lit(1)).alias("_c"))
+    bounded = few_groups or not by  # at most two cells per group and quantile
+    wanted = picked.select(
+        *[F.col(c).alias(f"_k_{c}") for c in by],
+        F.col("_bucket").alias("_kb"), "_n", "_before", "_wanted",
+    )
+    values = cells if bounded else cells.groupBy(*by, "_bucket", "_v").agg(
+        F.count(F.lit(1)).alias("_c")
     )
+    on = values["_bucket"] == wanted["_kb"]
+    for c in by:  # null-safe, so a null group keeps its rows
+        on = on & values[c].eqNullSafe(wanted[f"_k_{c}"])
+    if bounded:
+        counted = (
+            values.join(F.broadcast(wanted), on)
+            .groupBy(*by, "_bucket", "_v", "_n", "_before", "_wanted")
+            .agg(F.count(F.lit(1)).alias("_c"))
+        )
+    else:
+        counted = values.join(wanted, on)
     inside = (
         W.partitionBy(*by, "_bucket").orderBy("_v")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -145,7 +144,7 @@ def running_totals(
     bucket to bucket, so only one bucket is ever ordered in one task.
     """
     by = list(by)
-    cells = with_buckets(df, order, by, buckets)
+    cells = with_buckets(df, order, buckets)
     keys = [*by, "_bucket"]
     totals = cells.groupBy(*keys).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     earlier = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
