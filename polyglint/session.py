@@ -31,9 +31,11 @@ def local_session(app: str = "polyglint", cpus: int | str | None = None, **conf)
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster; a scratch one only for local masters."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if configured:
+        if not current:
+            spark.sparkContext.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     if not spark.sparkContext.master.startswith("local"):
