@@ -7,7 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -27,6 +28,12 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bind(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    """Add columns through a generator: what follows, filters included, reads the values and
+    never computes their expressions again."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished steps: it does so once the driver has
     collected their plans. Call it between eager steps that each shuffle much."""
