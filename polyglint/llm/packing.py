@@ -73,7 +73,7 @@ class _Windows:
         self.tokens = 0
 
     def add(self, doc_id, ids: np.ndarray) -> None:
-        raw, total, size = ids.astype("<u4").tobytes(), len(ids), self.capacity
+        raw, total, size = ids.tobytes(), len(ids), self.capacity
         for start in range(0, total - size + 1, size):
             piece = raw[4 * start : 4 * (start + size)]
             self.rows.append((doc_id, start, size, piece, total, self.next_id, 0))

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterable
-from itertools import chain
 
 import numpy as np
 
 #: The split rule of the vocabulary, for texts of plain letters, digits and signs.
-_SPLIT = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_SPLIT = re.compile(
+    rf" ?[{_LETTERS}]+|'(?:[sdmt]|ll|ve|re)| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+"
+)
 #: Texts with other characters (rare digits, controls, other scripts) are split by the tokenizer.
 _OTHER = re.compile("[^\t\n\r\x20-\x7e\xa1-\xa9\xab-\xb1\xb4\xb6\xb7\xbb\xbf-ɏ‐-‧‰-⁞€]")
-_KEPT = 400_000
+_KEPT = 1_000_000
 
 _open: dict[str, Encoder] = {}
 
@@ -34,7 +37,7 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._ids: dict[str, tuple[int, ...]] = {}
+        self._ids: dict[str, bytes] = {}  # little-endian uint32
 
     @staticmethod
     def of(path: str) -> Encoder:
@@ -46,26 +49,28 @@ class Encoder:
     def _learn(self, words: Iterable[str]) -> None:
         words = list(words)
         found = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        self._ids.update(zip(words, (tuple(x.ids) for x in found)))
+        self._ids.update(zip(words, (array("I", x.ids).tobytes() for x in found)))
 
     def encode(self, texts: list[str], end: int | None = None) -> list[np.ndarray]:
         """uint32 ids of each text, followed by ``end`` where it is given."""
         out = []
-        tail = () if end is None else (end,)
+        tail = b"" if end is None else array("I", [end]).tobytes()
         for text in texts:
             if _OTHER.search(text):
                 ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-                out.append(np.array([*ids, *tail], np.uint32))
+                out.append(np.frombuffer(array("I", ids).tobytes() + tail, "<u4"))
                 continue
             words = _SPLIT.findall(text)
-            unseen = set(words).difference(self._ids)
-            if unseen:
+            try:
+                raw = b"".join(map(self._ids.__getitem__, words))
+            except KeyError:
+                unseen = set(words).difference(self._ids)
                 if len(self._ids) + len(unseen) > _KEPT:
                     self._ids.clear()
                     unseen = set(words)
                 self._learn(unseen)
-            ids = chain(chain.from_iterable(map(self._ids.__getitem__, words)), tail)
-            out.append(np.fromiter(ids, np.uint32))
+                raw = b"".join(map(self._ids.__getitem__, words))
+            out.append(np.frombuffer(raw + tail, "<u4"))
         return out
 
     def decode(self, ids: list[int]) -> str:
