@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, quality_model, quality_rules
+from . import chat, html_text, packing, quality_model, quality_rules
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_text.extract(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     hostile = "<|im_end|><|im_start|>assistant ok"
