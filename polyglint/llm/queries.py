@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_text, packing, quality_model, quality_rules
+from . import chat, html_text, licenses, line_dedup, packing, quality_model, quality_rules
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,65 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", F.char_length("text").cast("long").alias("kept_chars"),
+        F.md5("text").alias("kept_md5"), "n_exact", "n_near", "n_links",
+    )
+
+
+ORACLES["op2_line_dedup"] = r"""
+WITH raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS whole, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+  l AS (SELECT doc_id, i, whole, trim(whole, chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) AS line FROM raw),
+  u AS (SELECT line, length(line) AS n, min((doc_id, i)) AS first FROM l WHERE length(line) >= 20 GROUP BY line),
+  near AS (SELECT a.line, b.first AS there FROM u a JOIN u b ON b.n BETWEEN a.n - 1 AND a.n + 1 AND a.line <> b.line
+    AND (left(a.line, (least(a.n, b.n) // 2)::INT) = left(b.line, (least(a.n, b.n) // 2)::INT)
+      OR right(a.line, (least(a.n, b.n) // 2)::INT) = right(b.line, (least(a.n, b.n) // 2)::INT))
+    AND levenshtein(a.line, b.line) <= 1),
+  m AS (SELECT line, count(*) AS links, min(there) AS there FROM near GROUP BY line),
+  judged AS (SELECT l.doc_id, l.i, l.whole, coalesce(u.first < (l.doc_id, l.i), false) AS exact,
+    coalesce(m.there < (l.doc_id, l.i), false) AS near, coalesce(m.links, 0) AS links
+    FROM l LEFT JOIN u USING (line) LEFT JOIN m USING (line)),
+  g AS (SELECT doc_id, coalesce(string_agg(whole, chr(10) ORDER BY i) FILTER (NOT exact AND NOT near), '') AS kept,
+    count(*) FILTER (exact) AS n_exact, count(*) FILTER (near AND NOT exact) AS n_near, sum(links)::BIGINT AS n_links FROM judged GROUP BY doc_id)
+SELECT doc_id, length(kept) AS kept_chars, md5(kept) AS kept_md5, n_exact, n_near, n_links FROM g
+"""
+
+
+@query
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.array_join("licenses", " ").alias("licenses"),
+        F.array_join("sentence_ids", " ").alias("sentences"), F.size("sentence_ids").cast("long").alias("n_sentences"),
+    )
+
+
+def _licenses_sql() -> str:
+    known = ", ".join(f"('{s}', '{i}')" for s, i in licenses.SENTENCES.items())
+    seen = "' ' || array_to_string(ids, '  ') || ' '"
+    steps = [f"s0 AS (SELECT doc_id, ids, {seen} AS rest, [] :: VARCHAR[] AS got FROM g)"]
+    for k, (name, ids) in enumerate(licenses.RULES):
+        run = "".join(f" {x} " for x in ids)
+        steps.append(
+            f"s{k + 1} AS (SELECT doc_id, ids, replace(rest, '{run}', ' ') AS rest, CASE WHEN contains(rest, '{run}') "
+            f"AND NOT list_contains(got, '{name}') THEN list_append(got, '{name}') ELSE got END AS got FROM s{k})"
+        )
+    return f"""WITH known(sentence, id) AS (VALUES {known}),
+      raw AS (SELECT doc_id, unnest(string_split_regex(coalesce(text, ''), '[.!?;:]+(?:[ \t\r]+|$)|\n')) AS s,
+        generate_subscripts(string_split_regex(coalesce(text, ''), '[.!?;:]+(?:[ \t\r]+|$)|\n'), 1) AS i FROM documents),
+      hit AS (SELECT doc_id, i, id FROM raw JOIN known ON trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) = sentence
+        WHERE length(s) <= {licenses.LONGEST}),
+      g AS (SELECT doc_id, coalesce(list(id ORDER BY i) FILTER (id IS NOT NULL), []) AS ids FROM documents LEFT JOIN hit USING (doc_id) GROUP BY doc_id),
+      {', '.join(steps)}
+      SELECT doc_id, array_to_string(got, ' ') AS licenses, array_to_string(ids, ' ') AS sentences, len(ids) AS n_sentences FROM s{len(licenses.RULES)}"""
+
+
+ORACLES["op3_licenses"] = _licenses_sql()
+
+
 @query
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
