@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_text, licenses, line_dedup, packing, quality_model, quality_rules
+from . import chat, decontaminate, html_text, licenses, line_dedup, packing, quality_model, quality_rules
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op5_decontamination"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents),
+  b AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchmark),
+  ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+  bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM b)),
+  n AS (SELECT item_id, count(*) AS item_shingles FROM bs GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS shared, any_value(item_shingles) AS item_shingles
+FROM ds JOIN bs USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(item_shingles)
+"""
+
+
 @query
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = html_text.extract(table(spark, sf_dir, "pages"))
