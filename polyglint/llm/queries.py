@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, licenses, line_dedup, packing, quality_model, quality_rules
+from . import chat, decontaminate, html_text, licenses, line_dedup, near_dedup, packing, quality_model, quality_rules
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,6 +111,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
