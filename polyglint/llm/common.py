@@ -28,6 +28,19 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settle_for_now(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``settle``, with the path, for tables that ``discard`` drops once they are used."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Drop a scratch table that nothing reads any more, in whatever store it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def bind(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     """Add columns through a generator: what follows, filters included, reads the values and
     never computes their expressions again."""
