@@ -144,6 +144,36 @@ def held_out(doc_id: str = "doc_id", folds: int = 5) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == 0, F.lit(False))
 
 
+def learn(
+    measured: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality", shrinkage: float = 0.1
+) -> Discriminant | float:
+    """Fit on the measured rows that have a label and aren't in the held-out fold."""
+    known = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).alias("label"))
+    known = known.where(F.col("label").isNotNull() & ~held_out("doc_id"))
+    return fit(measured.join(known, "doc_id"), "label", shrinkage)
+
+
+def probability(model: Discriminant | float, x: np.ndarray) -> np.ndarray:
+    return np.full(len(x), model) if isinstance(model, float) else model.score(x)
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+    label: str = "quality", threshold: float = 0.3, shrinkage: float = 0.1,
+) -> DataFrame:
+    """The rows of ``docs`` that ``classify`` predicts as class 1, with all their columns.
+
+    Rows are measured again where they are read, which costs less than moving their texts.
+    """
+    model = learn(settle(measure(docs, doc_id, text), "statistics"), labels, doc_id, label, shrinkage)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text, 4_000_000):
+            yield batch.filter(pa.array(probability(model, statistics(batch.column(text))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
     label: str = "quality", threshold: float = 0.3, shrinkage: float = 0.1,
@@ -157,15 +187,14 @@ def classify(
     empty table gives no rows. Other columns of either table are not read.
     """
     measured = settle(measure(docs, doc_id, text), "statistics")
-    known = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).alias("label"))
-    known = known.where(F.col("label").isNotNull() & ~held_out("doc_id"))
-    model = fit(measured.join(known, "doc_id"), "label", shrinkage)
+    model = learn(measured, labels, doc_id, label, shrinkage)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array(batch.column("x").to_pylist(), float).reshape(-1, len(STATISTICS))
-            score = np.full(len(x), model) if isinstance(model, float) else model.score(x)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
+            yield pa.record_batch(
+                [batch.column("doc_id"), pa.array(probability(model, x))], ["doc_id", "score"]
+            )
 
     scored = measured.mapInArrow(run, "doc_id long, score double")
     return scored.select(
