@@ -137,6 +137,54 @@ def _(t: Tables):
     return t.documents.select("doc_id", F.size(tx.stopword_set(F.col("lang"))).alias("words"))
 
 
+# The documents once more in each of the languages in turn: some of the language's own words and
+# of the next one's among the document's text.
+_CODES = list(STOPWORDS)
+_MIXED = {c: " ".join([*STOPWORDS[c][:6], *STOPWORDS[_CODES[(i + 1) % len(_CODES)]][:4]]) for i, c in enumerate(_CODES)}
+_MULTILINGUAL_SQL = (
+    "(SELECT doc_id, CASE doc_id % 21 " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_CODES)) + " END AS lang, "
+    "text || ' ' || CASE doc_id % 21 " + " ".join(f"WHEN {i} THEN '{_MIXED[c]}'" for i, c in enumerate(_CODES)) + " END AS text FROM documents)"
+)
+
+
+def multilingual(t: Tables):
+    at = (F.col("doc_id") % 21 + 1).cast("int")
+    code = F.element_at(F.array(*[F.lit(c) for c in _CODES]), at)
+    words = F.element_at(F.array(*[F.lit(_MIXED[c]) for c in _CODES]), at)
+    return t.documents.select("doc_id", code.alias("lang"), F.concat_ws(" ", "text", words).alias("text"))
+
+
+@query(
+    "tx10_stopwords_of_all_languages",
+    f"SELECT doc_id, lang, array_to_string({kept_sql(words_sql('text'))}, '|') AS tokens FROM {_MULTILINGUAL_SQL}",
+)
+def _(t: Tables):
+    kept = tx.drop_stopwords(tx.words(F.col("text")), F.col("lang"))
+    return multilingual(t).select("doc_id", "lang", F.array_join(kept, "|").alias("tokens"))
+
+
+@query(
+    "j3_antijoin_of_all_languages",
+    f"""SELECT doc_id, count(*) AS kept, md5(string_agg(w, ' ' ORDER BY w)) AS token_hash FROM (
+        SELECT doc_id, unnest({kept_sql(words_sql('text'))}) AS w FROM {_MULTILINGUAL_SQL}) GROUP BY doc_id""",
+)
+def _(t: Tables):
+    long = jn.stopword_antijoin(multilingual(t), tx.words(F.col("text")), "lang", "doc_id", _stop_table(t))
+    return long.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("kept"),
+        F.md5(F.array_join(F.array_sort(F.collect_list("token")), " ")).alias("token_hash"),
+    )
+
+
+@query(
+    "x1_union_of_all_languages",
+    f"""SELECT doc_id, lang, CAST(len(list_distinct(list_concat({_list_sql(STOPWORDS['en'])}, {_STOP_SQL}))) AS INTEGER) AS words
+        FROM {_MULTILINGUAL_SQL}""",
+)
+def _(t: Tables):
+    return multilingual(t).select("doc_id", "lang", F.size(tx.stopword_set(F.col("lang"))).alias("words"))
+
+
 def chain_sql(text):
     x = f"nfc_normalize({text})"
     for step in SQL_STEPS.values():
@@ -153,6 +201,15 @@ def _(t: Tables):
     return noisy(t).select("doc_id", F.array_join(tokens, " ").alias("clean_text"))
 
 
+@query(
+    "tx11_clean_text_of_all_languages",
+    f"SELECT doc_id, array_to_string({chain_sql('text')}, ' ') AS clean_text FROM {_MULTILINGUAL_SQL}",
+)
+def _(t: Tables):
+    tokens = tx.clean_tokens(tx.nfc(F.col("text")), F.col("lang"))
+    return multilingual(t).select("doc_id", F.array_join(tokens, " ").alias("clean_text"))
+
+
 # Latin vowels written in Indic letters, a different script per language; Spanish mixes two.
 _SCRIPTS = {"fr": ("aeo", "అఎఒ"), "de": ("aeo", "அஎஒ"), "es": ("aeo", "অઅও")}
 _SCRIPT_SQL = (

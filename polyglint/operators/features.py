@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import char_ngrams, let, uni_and_bigrams, vector_tokens
 from .aggregates import top_groups
-from .ordered import lookup
 
 # --- TF-IDF ---------------------------------------------------------------------------------
 
@@ -197,7 +196,8 @@ def label_table(df: DataFrame, label: str, fill: str = "neutral") -> DataFrame:
 def encode_labels(df: DataFrame, label: str, out: str, fill: str = "neutral") -> DataFrame:
     """Add the 0-based class index."""
     filled = F.coalesce(F.col(label), F.lit(fill))
-    return df.withColumn(out, lookup(label_table(df, label, fill), "label", "index", filled))
+    classes = label_table(df, label, fill).select(F.col("label").alias("_class"), F.col("index").alias(out))
+    return df.drop(out).join(classes, filled == F.col("_class"), "left").drop("_class")
 
 
 def l2_normalise(vector: Column) -> Column:

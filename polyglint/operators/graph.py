@@ -19,12 +19,14 @@ def tag_nodes(df: DataFrame, tags: Column, k: int = 150) -> DataFrame:
     return token_frequency(df, tags, k)
 
 
-def cooccurrence(df: DataFrame, tags: Column, nodes: DataFrame, k: int = 150) -> DataFrame:
+def cooccurrence(df: DataFrame, tags: Column, nodes: DataFrame) -> DataFrame:
     """(source, target, weight): rows on which both tags appear, source < target.
 
     Each task adds its rows up in one k x k matrix and hands on only the non-zero cells, so
     what is shuffled does not grow with the rows or with the tags per row.
     """
+    nodes = cut_lineage(nodes)
+    k = nodes.count()
     known = nodes.agg(F.array_sort(F.collect_list("token"))).scalar()
     carried = df.select(tags.alias("_tags"), known.alias("_known")).withColumn(
         "_present", F.array_intersect(F.array_distinct("_tags"), "_known")
@@ -37,8 +39,9 @@ def cooccurrence(df: DataFrame, tags: Column, nodes: DataFrame, k: int = 150) ->
         total = np.zeros((k, k), dtype=np.int64)
         for batch in batches:
             rows = np.zeros((len(batch), k), dtype=np.float64)
-            for i, at in enumerate(batch["at"]):
-                rows[i, at] = 1.0
+            if len(batch):
+                each = batch["at"].map(len).to_numpy()
+                rows[np.repeat(np.arange(len(batch)), each), np.concatenate(batch["at"].to_numpy())] = 1.0
             total += np.rint(rows.T @ rows).astype(np.int64)
         i, j = np.nonzero(np.triu(total, 1))
         yield pd.DataFrame({"i": i, "j": j, "n": total[i, j]})

@@ -164,18 +164,6 @@ def running_totals(
     )
 
 
-def lookup(table: DataFrame, key: str, value: str, at: Column, limit: int = 1000) -> Column:
-    """``value`` of the row of ``table`` whose ``key`` equals ``at``, without moving the big side.
-
-    For per-class tables only: the query fails when ``table`` has more than ``limit`` rows.
-    """
-    entries = F.map_from_entries(F.collect_list(F.struct(key, value)))
-    small = F.when(F.count(F.lit(1)) <= limit, entries).otherwise(
-        F.raise_error(F.lit(f"lookup table has more than {limit} rows"))
-    )
-    return F.try_element_at(table.where(F.col(key).isNotNull()).agg(small).scalar(), at)
-
-
 def sample_key(id_col: str, seed: int) -> Column:
     """A pseudo-random, engine-independent ordering of rows."""
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
@@ -217,6 +205,7 @@ def stratified_split(
     """Add ``is_test``: in every label exactly round(share * size) rows, picked by hash."""
     keyed = df.select(label, sample_key(id_col, seed).alias("_h"))
     take = F.round(F.lit(test_share) * F.col("_n")).cast("bigint")
-    edge = lookup(_hash_thresholds(keyed, [label], take), label, "_h", F.col(label))
-    chosen = F.coalesce(sample_key(id_col, seed) <= edge, F.lit(False))
-    return df.withColumn("is_test", chosen.cast("int"))
+    edges = _hash_thresholds(keyed, [label], take).select(F.col(label).alias("_class"), F.col("_h").alias("_edge"))
+    chosen = F.coalesce(sample_key(id_col, seed) <= F.col("_edge"), F.lit(False))
+    split = df.join(edges, F.col(label) == F.col("_class"), "left")
+    return split.withColumn("is_test", chosen.cast("int")).drop("_class", "_edge")

@@ -64,22 +64,24 @@ def pre_reduce(df: DataFrame, vec: str, width: int, k: int = 50, out: str = "red
 
 def silhouette(
     df: DataFrame, id_col: str, coords: str, label: str, sample: int = 2000, seed: int = 42,
-    dims: int = 2,
 ) -> DataFrame:
-    """Mean Euclidean silhouette of a sample of at most ``sample`` points, as one row.
+    """Mean Euclidean silhouette of a sample of at most ``sample`` points, as one row, over
+    all their coordinates.
 
     The sampled points travel as one bounded array per label and every sampled row measures
     itself against them in place: no pairs are shuffled.
     """
     drawn = exact_sample(df.select(id_col, coords, label), id_col, sample, seed)
     points = cut_lineage(drawn.where(F.col(label).isNotNull()))
+    dims = points.agg(F.max(F.size(coords))).first()[0] or 0
     clusters = points.groupBy(label).agg(F.collect_list(coords).alias("members"))
     table = clusters.agg(
         F.collect_list(F.struct(F.col(label).alias("label"), "members"))
     ).scalar()
 
     def distance(a: Column, b: Column) -> Column:
-        return F.sqrt(reduce(add, [(a[i] - b[i]) * (a[i] - b[i]) for i in range(dims)]))
+        squares = [(a[i] - b[i]) * (a[i] - b[i]) for i in range(dims)]
+        return F.sqrt(reduce(add, squares, F.lit(0.0)))
 
     def spread(cluster: Column) -> Column:
         total = F.aggregate(

@@ -24,10 +24,14 @@ def top_rows(df: DataFrame, metric: str, k: int, tie: Sequence[str]) -> DataFram
 
 
 def leaderboard(
-    results: DataFrame, metric: str = "f1", tie: Sequence[str] = ("embedding", "model"), k: int = 1000
+    results: DataFrame, metric: str = "f1", tie: Sequence[str] = ("embedding", "model"),
+    k: int | None = None,
 ) -> DataFrame:
-    """Results with their rank by metric, best first; a report of at most k rows."""
-    best = top_rows(results, metric, k, tie)
+    """All results with their rank by metric, best first; with ``k`` a report of the best k.
+
+    Results are a table of scores, one row per experiment, and are ranked in one task.
+    """
+    best = results if k is None else top_rows(results, metric, k, tie)
     place = F.row_number().over(W.orderBy(F.desc_nulls_last(metric), *tie))
     return best.withColumn("rank", place)
 

@@ -79,8 +79,8 @@ def _once(df: DataFrame, *cols: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*cols))))
 
 
-def corpus(clean: DataFrame, n: int | None = 20000, seed: int = 42) -> DataFrame:
-    """Rows for the embedding stage: non-blank texts, sampled when ``n`` is given."""
+def corpus(clean: DataFrame, n: int | None = None, seed: int = 42) -> DataFrame:
+    """Rows for the embedding stage: all non-blank texts, or ``n`` of them."""
     kept = keep_nonblank(clean, "clean_text")
     return kept if n is None else exact_sample(kept, "video_id", n, seed)
 

@@ -20,6 +20,8 @@ def local_session(app: str = "polyglint", cpus: int | str | None = None, **conf)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.sql.files.maxPartitionBytes", "4m")
+        .config("spark.sql.files.openCostInBytes", "64k")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

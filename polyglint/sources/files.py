@@ -21,16 +21,6 @@ def read_parquet(
     return df if keep is None else df.select(*[c for c in keep if c in df.columns])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out evenly when a table lies in fewer files than there are cores.
-
-    One small file is read by one task, which would leave CPU-heavy text work on one core. A
-    table of many files is returned as it is, so no large table is ever shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < min(cores, 64) else df
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """CSV with quoted line breaks; empty and blank strings become null."""
     df = spark.read.options(**_CSV).schema(schema).csv(path)
@@ -68,7 +58,11 @@ def preview(df: DataFrame, cols: Sequence[str], order: Sequence[str], n: int) ->
 
 
 def read_stopwords(df: DataFrame, limit: int = 20000) -> dict[str, list[str]]:
-    """Stopwords by language from a (lang, word) table, refused when larger than ``limit``."""
+    """Stopwords by language from a (lang, word) table, for the literal sets of an expression.
+
+    A table of more than ``limit`` rows is refused, as it would all stand in the plan: remove
+    those words with ``operators.joins.stopword_antijoin``, which takes the table itself.
+    """
     rows = df.select("lang", "word").na.drop().distinct().limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"stopword table has more than {limit} rows")

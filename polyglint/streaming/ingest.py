@@ -15,8 +15,13 @@ def file_stream(
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
-def new_rows(stream: DataFrame, id_col: str, moment: str, late: str = "2 hours") -> DataFrame:
-    """Each id once within the lateness window; state older than the watermark is dropped."""
+def new_rows(stream: DataFrame, id_col: str, moment: str, late: str) -> DataFrame:
+    """Each id once within the lateness window.
+
+    Rows that arrive more than ``late`` behind the newest moment are lost, and an id may come
+    again after that time: state older than the watermark is dropped. ``land_new_rows`` loses
+    nothing, at the price of reading the landed ids.
+    """
     timed = stream.withColumn(moment, F.col(moment).cast("timestamp"))
     valid = timed.where(F.col(id_col).isNotNull())
     return valid.withWatermark(moment, late).dropDuplicatesWithinWatermark([id_col])
@@ -53,23 +58,29 @@ def land_new_rows(
 ) -> None:
     """Append only ids that no earlier batch or run has landed, whatever their age.
 
-    Each micro-batch is deduplicated and anti-joined with the landed table. A replayed batch
-    overwrites its own partition, so a lost executor or driver never doubles rows.
+    A partition of the landed table is one batch of one run; a run is what its checkpoint names,
+    so a new checkpoint never touches what another one landed. Each micro-batch is deduplicated
+    and anti-joined with all other partitions. A replayed batch replaces its own partition
+    alone, so a lost executor or driver neither doubles rows nor loses any.
     """
 
     def land(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        named = spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id"))
+        own = named.first()[0]
         fresh = batch.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
         try:
-            landed = spark.read.parquet(path).where(F.col("_batch") != number)
+            landed = spark.read.parquet(path)
         except Exception as err:  # nothing has landed yet
             if "PATH_NOT_FOUND" not in str(err):
                 raise
         else:
+            landed = landed.where((F.col("_run") != own) | (F.col("_batch") != number))
             fresh = fresh.join(landed.select(id_col), id_col, "left_anti")
-        fresh.withColumn("_batch", F.lit(number)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("_batch").parquet(path)
+        fresh = fresh.withColumn("_run", F.lit(own)).withColumn("_batch", F.lit(number))
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "_run", "_batch"
+        ).parquet(path)
 
     run = (
         stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)

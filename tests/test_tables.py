@@ -154,7 +154,7 @@ def test_stopword_table(spark):
 def test_cooccurrence_and_centrality(spark):
     df = frame(spark, [(["a", "b", "b"],), (["a", "b", "c"],), (["d"],)], "t array<string>")
     nodes = gr.tag_nodes(df, F.col("t"), 4)
-    edges = gr.cooccurrence(df, F.col("t"), nodes, 4)
+    edges = gr.cooccurrence(df, F.col("t"), nodes)
     assert {(r.source, r.target): r.weight for r in edges.collect()} == {("a", "b"): 2, ("a", "c"): 1, ("b", "c"): 1}
     centrality = {r.token: r.centrality for r in gr.degree_centrality(edges, nodes).collect()}
     assert centrality == {"a": 2 / 3, "b": 2 / 3, "c": 2 / 3, "d": 0.0}
@@ -179,3 +179,26 @@ def test_stream_lands_each_id_once_across_runs(spark, tmp_path):
     batch.withColumn("event_id", F.col("event_id") + 25).write.mode("append").parquet(source)
     ingest.land_new_rows(stream, "event_id", out, state)
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == list(range(75))
+
+
+def test_runs_with_their_own_checkpoints_keep_each_others_rows(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for name, low, high in (("a", 0, 5), ("b", 5, 10), ("a2", 0, 7)):
+        source = str(tmp_path / name)
+        batch = spark.range(low, high).withColumnRenamed("id", "event_id")
+        batch.write.parquet(source)
+        ingest.land_new_rows(ingest.file_stream(spark, source, batch.schema), "event_id", out, f"{source}-state")
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == list(range(10))
+
+
+def test_leaderboard_ranks_every_result(spark):
+    df = spark.range(1500).selectExpr("string(id) embedding", "'m' model", "id / 1500 f1")
+    board = rk.leaderboard(df)
+    assert board.count() == 1500 and rk.leaderboard(df, k=10).count() == 10
+    assert board.agg({"rank": "max"}).first()[0] == 1500
+
+
+def test_split_with_many_classes(spark):
+    df = spark.range(10000).selectExpr("id", "id % 2000 l")
+    out = od.stratified_split(df, "id", "l", 0.2)
+    assert out.where("is_test = 1").groupBy("l").count().where("count = 1").count() == 2000
