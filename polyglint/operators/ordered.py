@@ -1,7 +1,7 @@
 """Exact order statistics without gathering a group in one task.
 
-Ranks are found in two levels: a bounded histogram says which bucket holds a rank, and only
-that bucket's distinct values are ordered. A hot group or a hot value therefore never has to
+Ranks are found in levels: a bounded histogram, finer where values are dense, says which bucket
+holds a rank, and only that bucket's distinct values are ordered. A hot group or a hot value therefore never has to
 be sorted whole.
 """
 
@@ -22,18 +22,39 @@ def _squash(value: Column) -> Column:
 
 
 def with_buckets(df: DataFrame, value: str, buckets: int) -> DataFrame:
-    """Add ``_bucket``: order-preserving equal-width cells between the extremes of the column.
+    """Add ``_bucket``: order-preserving cells, narrow where the values are dense.
 
+    Equal-width cells of a log scale between the finite extremes are counted first. Each is then
+    cut, between its own extremes, into as many equal parts as its share of the rows calls for,
+    so neither a far outlier nor a narrow range fills one cell; infinities have cells of their
+    own. There are at most ``2 * buckets + 2`` cells, which bounds the broadcast table of cells.
     Groups share one scale, so no row has to meet its group's extremes in a join. The scale is
     named through one column: repeating a scalar subquery in an expression would plan its
     whole input again each time.
     """
-    low, high = _squash(F.min(value)), _squash(F.max(value))
+    finite = F.when(F.abs(value) < F.lit(float("inf")), F.col(value))
+    low, high = _squash(F.min(finite)), _squash(F.max(finite))
     per = (buckets / F.when(high > low, high - low)).alias("per")
-    scaled = df.withColumn("_scale", df.agg(F.struct(low.alias("low"), per)).scalar())
-    cell = F.floor((_squash(F.col(value)) - F.col("_scale.low")) * F.col("_scale.per"))
-    cell = F.least(F.coalesce(cell, F.lit(0)), F.lit(buckets - 1)).cast("int")
-    return scaled.withColumn("_bucket", cell).drop("_scale")
+    scale = df.agg(F.struct(low.alias("low"), per)).scalar()
+    place = F.floor((_squash(F.col(value)) - F.col("_scale.low")) * F.col("_scale.per"))
+    coarse = (
+        F.when(F.col(value) == float("inf"), buckets).when(F.col(value) == float("-inf"), -1)
+        .otherwise(F.least(F.coalesce(place, F.lit(0)), F.lit(buckets - 1)).cast("int"))
+    )
+    scaled = df.withColumn("_scale", scale).withColumn("_coarse", coarse).drop("_scale")
+    counted = scaled.groupBy("_coarse").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(value).cast("double").alias("_from"), F.max(value).cast("double").alias("_to")
+    )
+    share = F.col("_rows") * F.lit(float(buckets)) / F.sum("_rows").over(W.partitionBy())
+    split = F.when(F.col("_to") > F.col("_from"), F.ceil(share)).otherwise(1)
+    split = F.when(F.abs("_to") < F.lit(float("inf")), split).otherwise(1)
+    before = W.orderBy("_coarse").rowsBetween(W.unboundedPreceding, -1)
+    cells = counted.withColumn("_parts", split).withColumn("_first", F.coalesce(F.sum("_parts").over(before), F.lit(0)))
+    cells = cells.select(F.col("_coarse").alias("_cell"), "_from", "_parts", "_first", (F.col("_to") - F.col("_from")).alias("_span"))
+    joined = scaled.join(F.broadcast(cells), F.col("_coarse") == F.col("_cell"), "left")
+    part = F.floor((F.col(value) - F.col("_from")) / F.col("_span") * F.col("_parts"))
+    part = F.when(F.col("_parts") > 1, F.least(F.coalesce(part, F.lit(0)), F.col("_parts") - 1)).otherwise(0)
+    return joined.withColumn("_bucket", F.col("_first") + part).select(*df.columns, "_bucket")
 
 
 def exact_quantiles(

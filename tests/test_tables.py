@@ -202,3 +202,12 @@ def test_split_with_many_classes(spark):
     df = spark.range(10000).selectExpr("id", "id % 2000 l")
     out = od.stratified_split(df, "id", "l", 0.2)
     assert out.where("is_test = 1").groupBy("l").count().where("count = 1").count() == 2000
+
+
+@pytest.mark.parametrize("outlier", [1e12, float("inf"), float("-inf")])
+def test_dense_values_beside_an_outlier_are_split(spark, outlier):
+    df = spark.range(200_001).selectExpr(f"CASE WHEN id = 7 THEN double('{outlier}') ELSE 0.3 + id / 2e8 END v")
+    sizes = od.with_buckets(df, "v", 4096).groupBy("_bucket").count()
+    assert sizes.agg({"count": "max"}).first()[0] < 500 and sizes.count() <= 2 * 4096 + 2
+    want = np.quantile([0.3 + i / 2e8 if i != 7 else outlier for i in range(200_001)], 0.5)
+    assert od.exact_quantiles(df, "v", [0.5]).first().quantiles[0] == pytest.approx(want, rel=1e-12)
