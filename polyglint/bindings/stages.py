@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.fixed_values import DAY_NAMES
 from ..plans import dashboard as db
 from ..plans import stages as st
 from ..session import scratch_path
@@ -151,3 +152,109 @@ def _(t: Tables):
 )
 def _(t: Tables):
     return db.monthly_trend(_board(t))
+
+
+# --- the other blocks -----------------------------------------------------------------------
+
+
+@query(
+    "dashboard_content",
+    f"""{_BOARD_SQL}, s AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(title_length) AS a, avg(title_word_count) AS b, avg(view_count) AS c,
+        avg(like_count) AS e, avg(comment_count) AS f, 100 * avg(has_description) AS g, 100 * avg(has_tags) AS h FROM d)
+        SELECT 'count' AS metric, n AS value FROM s UNION ALL SELECT 'avg_title_length', round(a, 6) FROM s
+        UNION ALL SELECT 'avg_word_count', round(b, 6) FROM s UNION ALL SELECT 'avg_views', round(c, 6) FROM s
+        UNION ALL SELECT 'avg_likes', round(e, 6) FROM s UNION ALL SELECT 'avg_comments', round(f, 6) FROM s
+        UNION ALL SELECT 'has_description_pct', round(g, 6) FROM s UNION ALL SELECT 'has_tags_pct', round(h, 6) FROM s""",
+)
+def _(t: Tables):
+    return rounded(db.content(_board(t)), "value")
+
+
+@query(
+    "dashboard_language_bar",
+    f"""{_BOARD_SQL}, c AS (SELECT lang_clean, count(*) AS count FROM d GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15)
+        SELECT lang_clean, count, round(100.0 * count / (SELECT sum(count) FROM c), 1) AS pct FROM c""",
+)
+def _(t: Tables):
+    return db.language_bar(_board(t))
+
+
+@query(
+    "dashboard_sentiment_donut",
+    f"""{_BOARD_SQL} SELECT sentiment_label, count(*) AS count, round(100.0 * count(*) / (SELECT count(*) FROM d), 6) AS pct,
+        upper(left(sentiment_label, 1)) || substring(sentiment_label, 2) AS label FROM d GROUP BY sentiment_label""",
+)
+def _(t: Tables):
+    return rounded(db.sentiment_donut(_board(t)), "pct")
+
+
+@query(
+    "dashboard_engagement_scatter",
+    f"""{_BOARD_SQL} SELECT video_id, round(log10(greatest(view_count, 1)), 6) AS views_log, round(log10(greatest(like_count, 1)), 6) AS likes_log,
+        sentiment_label, title, view_count, like_count, lang_clean FROM d
+        ORDER BY md5(CAST(video_id AS VARCHAR) || ':42') LIMIT 8000""",
+)
+def _(t: Tables):
+    return rounded(db.engagement_scatter(_board(t)), "views_log", "likes_log")
+
+
+@query(
+    "dashboard_engagement_violin",
+    f"""{_BOARD_SQL}, k AS (SELECT lang_clean, CAST(engagement_score AS DOUBLE) AS v FROM d WHERE lang_clean IN
+          (SELECT lang_clean FROM d GROUP BY lang_clean ORDER BY count(*) DESC, lang_clean LIMIT 10)),
+        q AS (SELECT lang_clean, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM k GROUP BY 1),
+        b AS (SELECT *, v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside FROM k JOIN q USING (lang_clean))
+        SELECT lang_clean, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+        round(min(v) FILTER (inside), 6) AS whisker_low, round(max(v) FILTER (inside), 6) AS whisker_high,
+        count(*) FILTER (NOT inside) AS outliers, count(*) AS n FROM b GROUP BY lang_clean, q1, median, q3""",
+)
+def _(t: Tables):
+    return rounded(db.engagement_violin(_board(t))[0], "q1", "median", "q3", "whisker_low", "whisker_high")
+
+
+@query(
+    "dashboard_upload_heatmap",
+    f"""{_BOARD_SQL} SELECT CAST(hour(published) AS INTEGER) AS upload_hour, """
+    + ", ".join(f'count(*) FILTER (isodow(published) = {i + 1}) AS "{name}"' for i, name in enumerate(DAY_NAMES))
+    + " FROM d GROUP BY 1",
+)
+def _(t: Tables):
+    return db.upload_heatmap(_board(t))
+
+
+@query(
+    "dashboard_title_length",
+    f"""{_BOARD_SQL}, x AS (SELECT sentiment_label, CAST(title_length AS DOUBLE) AS x FROM d), e AS (SELECT min(x) AS lo, max(x) AS hi FROM x),
+        b AS (SELECT sentiment_label, CAST(least(floor((x - lo) / ((hi - lo) / 50)), 49) AS INTEGER) AS bin, lo, (hi - lo) / 50 AS w FROM x, e)
+        SELECT sentiment_label, bin, round(min(lo) + bin * min(w), 6) AS bin_start, round(min(lo) + (bin + 1) * min(w), 6) AS bin_end,
+        count(*) AS count FROM b GROUP BY sentiment_label, bin""",
+)
+def _(t: Tables):
+    return rounded(db.title_length_histogram(_board(t)), "bin_start", "bin_end")
+
+
+@query(
+    "dashboard_yearly_growth",
+    f"""{_BOARD_SQL}, c AS (SELECT publish_year, count(*) AS count FROM d WHERE publish_year BETWEEN 2015 AND 2026 GROUP BY 1)
+        SELECT publish_year, count, round((count / lag(count) OVER (ORDER BY publish_year) - 1) * 100, 6) AS growth FROM c""",
+)
+def _(t: Tables):
+    return rounded(db.yearly_growth(_board(t)), "growth")
+
+
+@query(
+    "dashboard_language_treemap",
+    f"""{_BOARD_SQL} SELECT lang_clean AS name, 'Languages' AS parent, count(*) AS size FROM d
+        GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 20""",
+)
+def _(t: Tables):
+    return db.language_treemap(_board(t))
+
+
+@query(
+    "dashboard_weekday_bar",
+    f"""{_BOARD_SQL} SELECT CAST(isodow(published) - 1 AS INTEGER) AS upload_day_of_week, count(*) AS count,
+        ({DAY_NAMES})[isodow(published)] AS day_name FROM d GROUP BY ALL""",
+)
+def _(t: Tables):
+    return db.weekday_bar(_board(t))

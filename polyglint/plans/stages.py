@@ -100,7 +100,7 @@ def dashboard_stage(
     }
     return df.select(
         *[
-            F.col(c).try_cast("smallint").alias(c) if c in small
+            F.col(c).try_cast("int").alias(c) if c in small
             else F.col(c).try_cast("float").alias(c) if c == "engagement_score"
             else F.col(c)
             for c in df.columns
