@@ -130,21 +130,43 @@ def _crowded(forest: DataFrame) -> DataFrame:
     return forest.join(settle(sizes.where(F.col("size") > NEIGHBOURS + 1).select("root"), "crowded-regions"), "root")
 
 
-def _left_over(crowded: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components inside crowded regions, whatever their distance there.
-
-    The rows of a region's largest component are linked already; all others meet every row.
+def _left_over(crowded: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs of different components inside crowded regions that may still be linked.
+
+    The rows of a region's largest component are linked already; all others meet every row with
+    which they share a rare shingle. With shingles in order of rising frequency, two sets that
+    share ``percent`` of their union have their first common shingle at places behind which
+    enough of both sets follows, so shingles further back needn't be joined. That is exact, and
+    shingles that a whole group of copies has stand too far back to pair all of them.
     """
-    named = crowded.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    named = settle(named.select("root", "id", "n", "bits_a", "bits_b", "component"), "crowded-rows")
+    named = crowded.select("root", "id").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = settle(named, "crowded-rows")
     sizes = named.groupBy("root", "component").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("root").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
     largest = settle(largest.where("parts > 1").select("root", "main"), "main-components")
-    split = named.join(largest, "root")
-    minor = split.where("component <> main").select("root", *[F.col(c).alias(f"{c}_m") for c in ("id", "n", "bits_a", "bits_b", "component")])
-    met = minor.join(split, "root").where(
+    members = named.join(largest, "root").groupBy("id").agg(
+        F.first("component").alias("component"), F.bool_or(F.col("component") != F.col("main")).alias("minor")
+    )
+    members = settle(members, "split-members")
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1_000_000):
+            codes, offsets = shingle_sets(batch.column("text"), width)
+            sizes = np.diff(offsets)
+            ids = batch.column("id").take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+            yield pa.record_batch([ids, pa.array(np.repeat(sizes, sizes)), pa.array(codes.view(np.int64))], ["id", "n", "code"])
+
+    spelt = texts.join(members, texts["doc_id"] == members["id"]).select("id", "text").mapInArrow(spell, "id long, n long, code long")
+    spelt = settle(spelt, "member-shingles")
+    common = settle(spelt.groupBy("code").agg(F.count("*").alias("common")), "shingle-counts")
+    rising = Window.partitionBy("id").orderBy("common", "code")
+    placed = spelt.join(common, "code").withColumn("left", F.col("n") - F.row_number().over(rising) + 1)
+    placed = placed.where(F.col("left") * 100 >= F.col("n") * percent).join(members, "id")
+    placed = settle(placed.select("id", "n", "code", "left", "component", "minor"), "rare-shingles")
+    minor = placed.where("minor").select("code", *[F.col(c).alias(f"{c}_m") for c in ("id", "n", "left", "component")])
+    met = minor.join(placed, "code").where(
         (F.col("component") != F.col("component_m"))
-        & _alike(F.col("n"), F.col("n_m"), F.col("bits_a"), F.col("bits_a_m"), F.col("bits_b"), F.col("bits_b_m"), percent)
+        & (F.least("left", "left_m") * (100 + percent) >= (F.col("n") + F.col("n_m")) * percent)
     )
     return met.select(F.least("id", "id_m").alias("a"), F.greatest("id", "id_m").alias("b")).distinct()
 
@@ -160,7 +182,7 @@ def near_duplicates(
     with a common prefix of ``ROOT`` values meet their next neighbours in that order. Pairs are
     confirmed on the full sets: first one pair for each class, then all pairs that are still in
     different components, then, in regions with more rows than neighbours, every row outside
-    the largest component against all rows there. So no number of copies makes all pairs, and
+    the largest component against all rows that share a rare shingle. So no number of copies makes all pairs, and
     no link between components is left out for the size of a region.
 
     A text without words or a null one is an empty set, linked with nothing; a null id is never
@@ -176,7 +198,7 @@ def near_duplicates(
     forest = heads.select("id", "n", "bits_a", "bits_b", F.inline(tree)).withColumnRenamed("roots", "root")
     pairs = settle(neighbours(forest, percent), "near-pairs")
     release(spark)
-    crowded = settle(_crowded(forest.drop("deep")), "crowded")
+    crowded = settle(_crowded(forest.select("root", "id")), "crowded")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(crowded.select("id"))
     ids = settle(ids.distinct(), "near-ids")
     texts = settle(_rows(docs, doc_id, text).join(ids, "doc_id").dropDuplicates(["doc_id"]), "near-texts")
@@ -188,7 +210,7 @@ def near_duplicates(
     links = links.union(settle(confirm(rest, texts, width, percent), "links"))
     labels = components(links)
     release(spark)
-    over = _left_over(crowded, labels, percent).join(pairs, ["a", "b"], "left_anti")
+    over = _left_over(crowded, labels, texts, width, percent).join(pairs, ["a", "b"], "left_anti")
     links = links.union(settle(confirm(settle(over, "left-over"), texts, width, percent), "links"))
     labels = components(links)
     named = classes.join(labels, "id", "left").select("set_a", "set_b", F.coalesce("component", "id").alias("component"))
