@@ -118,10 +118,17 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components."""
-    own, other = labels.toDF("a", "own"), labels.toDF("b", "other")
-    joined = pairs.join(own, "a", "left").join(other, "b", "left")
-    return joined.where("coalesce(own, a) <> coalesce(other, b)").select("a", "b")
+    """Pairs of different components, with both."""
+    own, other = labels.toDF("a", "_own"), labels.toDF("b", "_other")
+    joined = pairs.select("a", "b").join(own, "a", "left").join(other, "b", "left")
+    named = joined.select("a", "b", F.coalesce("_own", "a").alias("own"), F.coalesce("_other", "b").alias("other"))
+    return named.where("own <> other")
+
+
+def _bridges(pairs: DataFrame) -> DataFrame:
+    """One pair for each two components."""
+    between = pairs.groupBy(F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    return between.agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.a", "pair.b")
 
 
 def _crowded(forest: DataFrame) -> DataFrame:
@@ -180,8 +187,8 @@ def near_duplicates(
     are linked; ``component_id`` is the smallest id reachable. Equal sets are one class. Each
     class has a row in every tree of the forest; a tree sorts its rows by signature, and rows
     with a common prefix of ``ROOT`` values meet their next neighbours in that order. Pairs are
-    confirmed on the full sets: first one pair for each class, then all pairs that are still in
-    different components, then, in regions with more rows than neighbours, every row outside
+    confirmed on the full sets: first one pair for each class, then one for each
+    two components that pairs connect, then all pairs that are still in different ones, then, in regions with more rows than neighbours, every row outside
     the largest component against all rows that share a rare shingle. So no number of copies makes all pairs, and
     no link between components is left out for the size of a region.
 
@@ -207,6 +214,10 @@ def near_duplicates(
     links = settle(confirm(first, texts, width, percent), "links")
     labels = components(links)
     rest = settle(_apart(pairs.join(first, ["a", "b"], "left_anti"), labels), "rest-pairs")
+    bridges = settle(_bridges(rest), "bridges")
+    links = links.union(settle(confirm(bridges, texts, width, percent), "links"))
+    labels = components(links)
+    rest = settle(_apart(rest.join(bridges, ["a", "b"], "left_anti"), labels).select("a", "b"), "rest-pairs")
     links = links.union(settle(confirm(rest, texts, width, percent), "links"))
     labels = components(links)
     release(spark)
