@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,9 +50,12 @@ def bind(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished steps: it does so once the driver has
-    collected their plans. Call it between eager steps that each shuffle much."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    collected their plans, which takes a second round for what the first one lets go. Call it
+    between eager steps that each shuffle much."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def encoded(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -229,11 +229,8 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     own = settle(samples.where("repeat").select("doc_id", "low", "count"), "own-repeats")
     release(spark)
     discard(spark, at_samples)
-    pairs, at_pairs = settle_for_now(windows(rows, one.where("state in (1, 2)"), length), "windows")
+    two = settle(reranked(windows(rows, one.where("state in (1, 2)"), length)), "round-two")
     release(spark)
-    two = settle(reranked(pairs), "round-two")
-    release(spark)
-    discard(spark, at_pairs)
     # the first row of a partition is met before if the last one of an earlier partition equals it
     edge = two.where("state = 2")
     earlier = two.where("state = 3").select("rank", "next", F.col("doc_id").alias("other"), F.col("low").alias("there"))
