@@ -117,6 +117,46 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(documents(spark, [])).count() == 0
 
 
+def plain_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("threshold,few", [(3, 32), (2, 1)])
+def test_near_lines_of_several_edits(spark, monkeypatch, threshold, few):
+    monkeypatch.setattr(line_dedup, "FEW", few)
+    pick = random.Random(threshold)
+    base = ["".join(pick.choice("abcd efgh") for _ in range(n)).strip() + "." for n in (24, 39, 41, 58, 60, 62, 80)]
+    texts = set(base)
+    for line in base:
+        for edits in (1, 2, 3, 4) * 3:
+            out = list(line)
+            for _ in range(edits):
+                at = pick.randrange(len(out))
+                out[at : at + pick.randint(0, 1)] = pick.choice(["", "x", "y"])
+            texts.add("".join(out).strip())
+    texts = sorted(x for x in texts if len(x) >= 20)
+    allowed = lambda a, b: max(1, min(threshold, min(len(a), len(b)) // 20))
+    want = {(a, b) for a in texts for b in texts if a != b and plain_edits(a, b) <= allowed(a, b)}
+    assert any(plain_edits(a, b) == threshold for a, b in want)
+    lines = line_dedup.lines_of(documents(spark, list(enumerate(texts))))
+    text = {r.id: r.line for r in lines.collect()}
+    got = [(text[r.id], text[r.other]) for r in line_dedup.near_lines(lines, threshold).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_line_dedup_by_parameters(spark):
+    line = "a line of text that is long enough to be compared, and compared again"
+    docs = documents(spark, [(1, line + "\nshort"), (2, line.replace("long", "lang").replace("again", "agaim")), (3, "short\n\n\nnew")])
+    text = lambda **p: {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, **p).collect()}
+    assert text()[2] and text(threshold=2)[2] == ""
+    assert text()[3] == "short\n\n\nnew" and text(min_exact_chars=1)[3] == "\n\nnew"
+
+
 def test_line_dedup_odd_rows(spark):
     line = "a line of text that is long enough to be compared"
     found = line_dedup.dedup_lines(documents(spark, [(None, line), (2, line), (2, line), (3, line)]))
