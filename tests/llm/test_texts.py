@@ -1,6 +1,7 @@
 """Quality rules, licences, the classifier, HTML and chat on small tables."""
 
 import random
+import textwrap
 
 import pytest
 from helpers import base_counts, documents, rows
@@ -64,6 +65,40 @@ def test_licenses(spark):
     assert licenses.scan(documents(spark, [])).count() == 0
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE."""
+GPL3 = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+VERBATIM = [
+    (APACHE, "Apache-2.0", 3), (MIT, "MIT", 3), (GPL3, "GPL-3.0", 1), (GPL3.replace(":", ";").replace("3", "2"), "GPL-2.0", 1),
+    (ISC, "ISC", 1), (ISC.replace("and/or", "and"), "ISC", 1), (MPL, "MPL-2.0", 1), (BSD, "BSD-2-Clause", 3),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense", 1),
+]
+
+
+@pytest.mark.parametrize("width,prefix", [(10000, ""), (78, ""), (70, " * "), (25, "# ")])
+def test_verbatim_licenses(spark, width, prefix):
+    wrap = lambda t: "\n".join(prefix + x for p in t.split("\n") for x in textwrap.wrap(p, width) or [""])
+    texts = [(i, "Copyright (c) 2020 A. Holder\n\n" + wrap(t) + "\n\nint x;\r\n") for i, (t, _, _) in enumerate(VERBATIM)]
+    got = {r.doc_id: (r.licenses, len(r.sentence_ids)) for r in licenses.scan(documents(spark, texts)).collect()}
+    for i, (_, name, n) in enumerate(VERBATIM):
+        assert got[i] == ([name], n)
+
+
 def test_classifier_on_held_out_rows(spark):
     junk = lambda i: " ".join("%$#@!"[(i + k) % 5] * 4 for k in range(60))
     texts = [(i, prose(i, 40 + i % 50)) for i in range(200)] + [(200 + i, junk(i)) for i in range(60)]
