@@ -40,13 +40,16 @@ _SHELL_NAMES = frozenset(
 #: Names that tell a page's frame only where no article is open.
 _FRAME_NAMES = frozenset("header masthead banner notice notices notification alert topbar toolbar copyright legal".split())
 
+#: First parts of names that tell how a page is laid out around such a part.
+_LAYOUT = frozenset("has no with without content main page".split())
+
 FEATURES = (
     "words", "link_density", "previous_words", "previous_link_density", "next_words",
-    "next_link_density", "in_shell", "in_article",
+    "next_link_density", "in_shell", "in_article", "hinted",
 )
 
-#: Labelled blocks: the features above, then 1 for main text.
-LABELLED = (
+#: Labelled blocks without a hint: the other features above, then 1 for main text.
+_UNHINTED = (
     # inside an article: any length, with and without links
     (62, 0.0, 40, 0.0, 55, 0.0, 0, 1, 1), (8, 0.0, 0, 0.0, 70, 0.0, 0, 1, 1), (1, 0.0, 30, 0.0, 1, 0.0, 0, 1, 1),
     (1, 0.0, 1, 0.0, 44, 0.0, 0, 1, 1), (3, 0.0, 5, 1.0, 2, 0.0, 0, 1, 1), (25, 0.9, 30, 0.0, 12, 0.0, 0, 1, 1),
@@ -69,6 +72,17 @@ LABELLED = (
     (4, 0.0, 0, 0.0, 3, 1.0, 0, 0, 0), (10, 0.5, 3, 1.0, 2, 1.0, 0, 0, 0), (6, 0.0, 48, 0.0, 0, 0.0, 0, 0, 0),
     (8, 0.0, 4, 1.0, 1, 1.0, 0, 0, 0), (45, 0.6, 3, 1.0, 5, 1.0, 0, 0, 0), (5, 0.2, 3, 0.0, 6, 0.0, 0, 0, 0),
 )
+#: Blocks under a name of which a part alone is a frame's: in an article that says nothing, else
+#: short and linked ones go, wherever they stand.
+_HINTED = (
+    (62, 0.0, 40, 0.0, 55, 0.0, 0, 1, 1), (1, 0.0, 30, 0.0, 1, 0.0, 0, 1, 1), (25, 0.9, 30, 0.0, 12, 0.0, 0, 1, 1),
+    (38, 0.0, 52, 0.0, 41, 0.0, 1, 1, 0), (12, 0.0, 70, 0.0, 0, 0.0, 1, 0, 0), (64, 0.2, 5, 1.0, 70, 0.0, 1, 0, 0),
+    (48, 0.0, 50, 0.0, 61, 0.0, 0, 0, 1), (31, 0.1, 4, 1.0, 40, 0.0, 0, 0, 1), (28, 0.0, 2, 1.0, 3, 0.0, 0, 0, 1),
+    (40, 0.0, 60, 0.0, 0, 0.0, 0, 0, 1), (65, 0.1, 3, 1.0, 4, 1.0, 0, 0, 1), (24, 0.0, 6, 0.0, 5, 0.0, 0, 0, 1),
+    (6, 0.0, 44, 0.0, 38, 0.0, 0, 0, 0), (12, 0.0, 70, 0.0, 40, 0.0, 0, 0, 0), (18, 0.2, 50, 0.0, 30, 0.0, 0, 0, 0),
+    (3, 0.0, 36, 0.0, 0, 0.0, 0, 0, 0), (45, 0.6, 40, 0.0, 50, 0.0, 0, 0, 0), (5, 1.0, 60, 0.0, 60, 0.0, 0, 0, 0),
+)
+LABELLED = tuple((*row[:-1], hint, row[-1]) for hint, rows in enumerate((_UNHINTED, _HINTED)) for row in rows)
 
 
 @dataclass
@@ -114,33 +128,45 @@ def decide(tree: Node, x: tuple) -> bool:
     return tree.keep
 
 
-def _is_shell(tag: str, attrs: str, in_article: bool) -> bool:
-    if tag in _SHELL_TAGS or tag == "header" and not in_article:
-        return True
-    if not attrs or tag in ("html", "body", "main"):
-        return False
+def _shell_of(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, bool]:
+    """Whether an element is shell by its tag or hidden, shell by a whole name, or has a hint of it.
+
+    An ``article`` or ``main`` is no shell by its names. In an article ids are places to link to,
+    except those of a ``div``.
+    """
+    hard = tag in _SHELL_TAGS or tag == "header" and not in_article
+    named = hint = False
+    if not attrs or hard or tag in ("html", "body"):
+        return hard, named, hint
     for name, value in _ATTRIBUTE.findall(attrs):
         name = name.lower()
         if name == "hidden" or name == "aria-hidden" and "true" in value.lower():
-            return True
-        parts = set(_NAME_PARTS.findall(value.lower()))
-        if parts & _SHELL_NAMES or not in_article and parts & _FRAME_NAMES:
-            return True
-    return False
+            return tag != "main", False, False
+        if tag in ("article", "main"):
+            continue
+        for token in value.lower().strip("\"'").split():
+            parts = _NAME_PARTS.findall(token)
+            names = _SHELL_NAMES if in_article else _SHELL_NAMES | _FRAME_NAMES
+            if token in names and (name != "id" or not in_article or tag == "div"):
+                named = True
+            elif not names.isdisjoint(parts) and parts[0] not in _LAYOUT:
+                hint = True
+    return hard, named, hint
 
 
-def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
-    """Flat text blocks in page order: text, words, words in links, in the shell, in an article."""
-    found: list[tuple[str, int, int, bool, bool]] = []
-    open_tags: list[tuple[str, bool, bool]] = []
+def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
+    """Flat text blocks in page order: text, words, words in links, in the shell, in an article, hinted."""
+    found: list[tuple[str, int, int, bool, bool, bool]] = []
+    # tag, and whether it or one around it is shell by tag, shell by name, an article, hinted
+    open_tags: list[tuple[str, bool, bool, bool, bool]] = []
     parts: list[str] = []
-    linked, links, shell, article = 0, 0, False, False
+    linked, links, shell, article, hinted = 0, 0, False, False, False
 
     def close() -> None:
         nonlocal parts, linked
         words = "".join(parts).split()
         if words:
-            found.append((" ".join(words), len(words), linked, shell, article))
+            found.append((" ".join(words), len(words), linked, shell, article, hinted))
         parts, linked = [], 0
 
     def text(segment: str) -> None:
@@ -177,15 +203,20 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
             if tag in ("article", "main", "body"):  # a frame left open ends here
                 while open_tags and open_tags[-1][0] in ("nav", "header", "footer", "head", "ul", "ol", "li"):
                     open_tags.pop()
-                shell, article = open_tags[-1][1:] if open_tags else (False, False)
-            inside = shell or _is_shell(tag, m["attrs"], article)
-            if inside and tag in _INLINE and not shell:
+                if not open_tags or not open_tags[-1][3]:  # what holds an article is no shell by its name
+                    open_tags = [(t, hard, False, inner, False) for t, hard, _, inner, _ in open_tags]
+            _, hard, named, inner, hint = open_tags[-1] if open_tags else ("", False, False, False, False)
+            own = _shell_of(tag, m["attrs"], inner)
+            if tag in _INLINE:  # no hint cuts a sentence, and in code a "comment" is text
+                own = (own[0], own[1] and not any(t[0] == "pre" for t in open_tags), False)
+            if tag in _INLINE and any(own) and not (hard or named):
                 close()
-            open_tags.append((tag, inside, article or tag in ("article", "main")))
-        now = open_tags[-1][1:] if open_tags else (False, False)
-        if now != (shell, article):
+            inner = inner or tag in ("article", "main")
+            open_tags.append((tag, hard or own[0], named or own[1], inner, hint or own[2]))
+        _, hard, named, inner, hint = open_tags[-1] if open_tags else ("", False, False, False, False)
+        if (hard or named, inner, hint) != (shell, article, hinted):
             close()
-            shell, article = now
+            shell, article, hinted = hard or named, inner, hint
     text(page[at:])
     close()
     return found
@@ -195,11 +226,11 @@ def main_text(page: str, tree: Node) -> str:
     """Blocks that the tree keeps, joined by a line feed."""
     flat = blocks(page)
     edge = (0, 0.0)
-    shape = [edge, *[(n, links / n) for _, n, links, _, _ in flat], edge]
+    shape = [edge, *[(n, links / n) for _, n, links, *_ in flat], edge]
     kept = [
         block[0]
         for i, block in enumerate(flat, 1)
-        if decide(tree, (*shape[i], *shape[i - 1], *shape[i + 1], block[3], block[4]))
+        if decide(tree, (*shape[i], *shape[i - 1], *shape[i + 1], *block[3:]))
     ]
     return "\n".join(kept)
 
@@ -211,7 +242,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
     and white space inside a block, ``<br>`` included, becomes one space. A tree trained on
     ``LABELLED`` judges a block by its words and link density, those of its neighbours, and
     whether it stands in the page's shell (menus, headers, footers, sidebars, adverts, forms,
-    notices, comments, hidden parts) or in an article. Rows are handled alone: a null page or
+    notices, comments, hidden parts) or in an article. A class, role or id tells the shell if a
+    whole name of it does; a part of a name is a hint the tree weighs. Rows are handled alone: a null page or
     one without main text gives an empty text, repeated rows give equal rows, ids and urls pass
     through, other columns are not read.
     """

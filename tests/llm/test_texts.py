@@ -141,6 +141,22 @@ def test_html(spark):
     assert html_text.extract(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<div class='has-sidebar'><article><p>one</p></article></div>", "one"),
+    ("<div class='sidebar'><main><p>one</p><div class='comments'>no</div></main></div>", "one"),
+    ("<article class='post category-social' id='comment-law'><p>one</p></article>", "one"),
+    ("<article><section id='social-history'><p>one</p></section><h2 id='search'>two</h2></article>", "one\ntwo"),
+    ("<article class='social'><p>one <span class='menu-item'>two</span></p></article>", "one two"),
+    ("<article><pre><code>x = 1 <span class='comment'># one</span></code></pre></article>", "x = 1 # one"),
+    ("<main><p>one</p><div class='related'><article>no</article></div></main>", "one"),
+    ("<nav class='x'><a href='/'>no</a></nav><div class='related-x'>no</div><article>one</article>", "one"),
+    ("<p>" + "long words here " * 12 + "</p><div class='site-footer'>of the site</div><p>" + "more words here " * 12 + "</p>",
+     ("long words here " * 12).strip() + "\n" + ("more words here " * 12).strip()),
+])
+def test_html_names(page, text):
+    assert html_text.main_text(page, html_text.train()) == text
+
+
 def test_long_page():
     page = "<article>" + "<p>some words</p>" * 20000 + "</article>"
     assert html_text.main_text(page, html_text.train()).count("\n") == 19999
