@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, decontaminate, html_text, licenses, line_dedup, near_dedup, packing, quality_model, quality_rules,
+    chat, decontaminate, html_text, licenses, line_dedup, near_dedup, packing, periodic_runs, quality_model, quality_rules,
     substring_dedup,
 )
-from .common import table
+from .common import bind, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -193,3 +193,31 @@ grouped AS (SELECT conv_id, count(*) AS n_turns, sum(chars)::BIGINT AS formatted
 SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
   sha256(loss) AS loss_sha256, formatted_chars FROM grouped
 """
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in one of ten documents, picked by the checksum of the id, the words from
+    some place on repeat those that follow it, as the contract of the query has it."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(F.col("h") % 10 == 0, F.expr(r"regexp_extract_all(text, '([^\\x20\\x09-\\x0D]+)', 0)"))
+    rows = bind(docs.select("doc_id", "text").withColumn("h", h), {"words": words})
+    g, n = F.floor(F.col("h") / 10), F.size("words")
+    rows = bind(rows, {"a": F.when(n > 0, g % n), "p": 1 + F.floor((n - g % F.nullif(n, F.lit(0))) / (3 + g % 8))})
+    i = lambda at: F.col("a") + (at - F.col("a")) % F.col("p")
+    again = F.transform("words", lambda w, at: F.when(at < F.col("a"), w).otherwise(F.get("words", i(at).cast("int"))))
+    return rows.select("doc_id", F.when(n > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    none = F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>")
+    # runs stand by start, then period: of equal exponents the first stays
+    best = F.aggregate("runs", none, lambda top, r: F.when(
+        top.isNull() | (r["length"] * top["period"] > top["length"] * r["period"]), r).otherwise(top))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
