@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     chat, decontaminate, html_text, licenses, line_dedup, near_dedup, packing, periodic_runs, quality_model, quality_rules,
-    substring_dedup,
+    secrets, substring_dedup,
 )
 from .common import bind, table
 
@@ -221,3 +221,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    of = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "literal")
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(listed(base), 256).alias("base_sha256"), listed("spans").alias("spans"),
+        F.size(of("literal")).cast("long").alias("n_literal"),
+    )
