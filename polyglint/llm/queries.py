@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, decontaminate, html_text, licenses, line_dedup, near_dedup, packing, periodic_runs, quality_model, quality_rules,
+    chat, collocations, decontaminate, html_text, licenses, line_dedup, near_dedup, packing, periodic_runs, quality_model, quality_rules,
     secrets, substring_dedup,
 )
 from .common import bind, table
@@ -234,3 +234,29 @@ def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"), listed("spans").alias("spans"),
         F.size(of("literal")).cast("long").alias("n_literal"),
     )
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+  w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+  total AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY lang),
+  spots AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+  g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM spots, range(1, 6) r(k) WHERE i + k - 1 <= len(w)),
+  f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+  c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+  cuts AS (SELECT lang, phrase, a, array_to_string(w[1:j], ' ') AS first, array_to_string(w[j + 1:], ' ') AS rest, j FROM c, range(1, 5) r(j) WHERE j < k),
+  s AS (SELECT x.lang, x.phrase, x.a, x.j, l.f AS l, r.f AS r, n, (1000 * x.a * n) // (l.f * r.f) AS score FROM cuts x
+    JOIN f l ON l.lang = x.lang AND l.phrase = x.first JOIN f r ON r.lang = x.lang AND r.phrase = x.rest JOIN total t ON t.lang = x.lang),
+  low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+  sub AS (SELECT lang, a, unnest([array_to_string(w[i:i + m - 1], ' ') for i in range(1, k - m + 2)]) AS phrase FROM c, range(2, 5) r(m) WHERE m < k),
+  drops AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN sub ON sub.lang = c.lang AND sub.phrase = c.phrase WHERE 100 * sub.a >= 100 * c.a),
+  ranked AS (SELECT low.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM low ANTI JOIN drops USING (lang, phrase))
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
