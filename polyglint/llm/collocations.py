@@ -5,12 +5,12 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shingles
@@ -27,7 +27,7 @@ SAMPLE, SLACK = 0.125, 0.5
 #: Phrases that take part in a larger share of all words than this are looked up by broadcast:
 #: at most LONGEST times its inverse, of which there can't be more.
 HOT_SHARE = 1e-4
-SLICE = 3_000_000
+SLICE = 2_000_000
 _CUTS = b".,;:!?\n\x0b\x0c\r"
 _CUT = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -69,6 +69,8 @@ class Gate:
     before: np.ndarray | None = None
     #: hold phrases against their pairs of words rather than against phrases one shorter
     pairs: bool = False
+    #: count only phrases that this filter holds themselves
+    only: np.ndarray | None = None
 
 
 def _passes(bits: np.ndarray, shorter: np.ndarray) -> np.ndarray:
@@ -114,7 +116,7 @@ def _grouped(codes: np.ndarray, ids: list[np.ndarray]) -> tuple[np.ndarray, np.n
     return order[begins], np.diff(begins, append=len(order))
 
 
-def _count(texts: pa.Array, langs: pa.Array, gate: Gate) -> Iterator[pa.RecordBatch]:
+def _count(texts: pa.Array, langs: pa.Array, gate: Gate, spelt: bool) -> Iterator[pa.RecordBatch]:
     found = split(texts, b" \t" + _CUTS, lower=True)
     if len(found.starts) == 0:
         return
@@ -129,6 +131,9 @@ def _count(texts: pa.Array, langs: pa.Array, gate: Gate) -> Iterator[pa.RecordBa
     names = ["lang", "phrase", "k", "code", "n"]
 
     def rows(k: int, codes: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+        if not spelt:
+            found, sizes = np.unique(codes[places], return_counts=True)
+            return pa.record_batch([pa.array(found.view(np.int64)), pa.array(sizes.astype(np.int64))], names[3:])
         parts = [ids[places + t] for t in range(k)]
         first, sizes = _grouped(codes[places], [lang[places], *parts])
         heads = places[first]
@@ -139,7 +144,7 @@ def _count(texts: pa.Array, langs: pa.Array, gate: Gate) -> Iterator[pa.RecordBa
             pa.array(codes[heads].view(np.int64)), pa.array(sizes.astype(np.int64)),
         ], names)
 
-    if 1 in gate.lengths:
+    if spelt and 1 in gate.lengths:
         totals = np.bincount(lang, minlength=len(lang_names))
         zeros = np.zeros(len(totals), np.int64)
         yield pa.record_batch([
@@ -166,21 +171,34 @@ def _count(texts: pa.Array, langs: pa.Array, gate: Gate) -> Iterator[pa.RecordBa
                 here &= _passes(gate.now, shorter)
                 if gate.before is not None:
                     here &= ~_passes(gate.before, shorter)
+        if gate.only is not None:
+            here &= _held(gate.only, codes)
         places = np.flatnonzero(here)
         if len(places):
             yield rows(k, codes, places)
 
 
-def count_phrases(docs: DataFrame, gate: Gate) -> DataFrame:
-    """``lang, phrase, k, code, n`` of the phrases that the gate lets pass, counted exactly; with
-    single words also a row of length 0 with the number of all words of each language."""
+def _counted(docs: DataFrame, gate: Gate, spelt: bool, schema: str) -> DataFrame:
     shared, size = docs.sparkSession.sparkContext.broadcast(gate), SLICE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, langs in _segments(batches, size):
-            yield from _count(texts, langs, shared.value)
+            yield from _count(texts, langs, shared.value, spelt)
+            pa.default_memory_pool().release_unused()
+
+    return docs.mapInArrow(run, schema)
+
 
-    counted = docs.mapInArrow(run, _COUNTED)
+def count_codes(docs: DataFrame, gate: Gate) -> DataFrame:
+    """``code, n`` of the phrases that the gate lets pass. Phrases may share a code, so a count
+    may be too large, never too small."""
+    return _counted(docs, gate, False, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def count_phrases(docs: DataFrame, gate: Gate) -> DataFrame:
+    """``lang, phrase, k, code, n`` of the phrases that the gate lets pass, counted exactly; with
+    single words also a row of length 0 with the number of all words of each language."""
+    counted = _counted(docs, gate, True, _COUNTED)
     return counted.groupBy("lang", "phrase", "k", "code").agg(F.sum("n").alias("n"))
 
 
@@ -194,32 +212,30 @@ def frequent_phrases(docs: DataFrame, min_count: int, longest: int = LONGEST) ->
     A sample proposes phrases at a lowered threshold. A full pass counts the proposals and their
     negative border, which are the phrases both of whose shorter parts are proposed. Where the
     border holds a frequent phrase the proposals have failed: it joins them, and a further pass
-    counts the border that this adds, until no pass finds one.
+    counts the border that this adds, until no pass finds one. A pass adds up codes first, which
+    are short, and spells out and counts exactly the phrases whose codes come often enough.
     """
-    spark = docs.sparkSession
     drawn = settle(docs.sample(SAMPLE, seed=42), "collocation-sample")
     enough = F.col("n") >= max(2, int(min_count * SAMPLE * SLACK))
-    proposed = settle(count_phrases(drawn, Gate((1, 2))).where(enough & (F.col("k") > 0)), "proposals")
-    bits = filled(empty_filter(), proposed.where("k < 3"))
-    if longest > 2:
-        longer = count_phrases(drawn, Gate(tuple(range(3, longest)), bits, pairs=True)) if longest > 3 else None
-        if longer is not None:
-            bits = filled(bits, settle(longer.where(enough), "proposals"))
+    bits = filled(empty_filter(), count_codes(drawn, Gate((1, 2))).where(enough))
+    if longest > 3:
+        bits = filled(bits, count_codes(drawn, Gate(tuple(range(3, longest)), bits, pairs=True)).where(enough))
     gate, found = Gate(tuple(range(1, longest + 1)), bits), None
     while True:
-        counted = count_phrases(docs, gate).where((F.col("n") >= min_count) | (F.col("k") == 0))
+        likely = filled(empty_filter(), count_codes(docs, gate).where(F.col("n") >= min_count))
+        counted = count_phrases(docs, replace(gate, only=likely)).where((F.col("n") >= min_count) | (F.col("k") == 0))
         counted = settle(counted, "frequent-phrases")
         found = counted if found is None else found.union(counted)
-        failed = _outside(spark, counted.where(F.col("k").between(1, longest - 1)), gate.now)
+        failed = _outside(counted.where(F.col("k").between(1, longest - 1)), gate.now)
         failed = settle(failed, "border-failures")
         if failed.isEmpty():
             return found
         gate = Gate(tuple(range(2, longest + 1)), filled(gate.now, failed), before=gate.now)
 
 
-def _outside(spark: SparkSession, phrases: DataFrame, bits: np.ndarray) -> DataFrame:
+def _outside(phrases: DataFrame, bits: np.ndarray) -> DataFrame:
     """Those that the filter doesn't hold."""
-    shared = spark.sparkContext.broadcast(bits)
+    shared = phrases.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
