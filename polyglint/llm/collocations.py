@@ -19,8 +19,8 @@ from .shingles import mixed
 from .words import byte_table, split
 
 LONGEST = 5
-#: Bits of the filter that holds the proposed phrases: 8 MB, whatever the corpus.
-FILTER_BITS = 1 << 26
+#: Bits for each phrase that a filter is made for, and for a whole filter at most (8 MB).
+PHRASE_BITS, FILTER_BITS = 64, 1 << 26
 #: Share of the rows that the proposals come from, and how far below the sought frequency a
 #: phrase of the sample may stay.
 SAMPLE, SLACK = 0.125, 0.5
@@ -37,24 +37,23 @@ _COUNTED = "lang string, phrase string, k int, code long, n long"
 # --- which phrases a pass counts ---------------------------------------------------------------
 
 
-def empty_filter() -> np.ndarray:
-    return np.zeros(FILTER_BITS // 64, np.uint64)
-
-
 def _held(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Which codes the filter holds. It may hold some that were never put in, always the same."""
     place = codes & np.uint64(len(bits) * 64 - 1)
     return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-def filled(bits: np.ndarray, phrases: DataFrame) -> np.ndarray:
-    """The filter with the codes of ``phrases`` put in, or-ed together by Spark word by word."""
+def filter_of(phrases: DataFrame, bits: np.ndarray | None = None) -> np.ndarray:
+    """A filter with the codes of ``phrases``, or-ed together by Spark word by word; ``bits`` is
+    one to add them to."""
+    if bits is None:
+        size = 1 << max(12, int(phrases.count() * PHRASE_BITS - 1).bit_length())
+        bits = np.zeros(min(size, FILTER_BITS) // 64, np.uint64)
     place = F.col("code").bitwiseAND(len(bits) * 64 - 1)
     words = phrases.select(F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(code & 63 as int))").alias("bit"))
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = bits.copy()
-    at = found.column("word").to_numpy()
-    out[at] |= found.column("bits").to_numpy().view(np.uint64)
+    out[found.column("word").to_numpy()] |= found.column("bits").to_numpy().view(np.uint64)
     return out
 
 
@@ -178,7 +177,7 @@ def _count(texts: pa.Array, langs: pa.Array, gate: Gate, spelt: bool) -> Iterato
             yield rows(k, codes, places)
 
 
-def _counted(docs: DataFrame, gate: Gate, spelt: bool, schema: str) -> DataFrame:
+def _counted(docs: DataFrame, gate: Gate, least: int, spelt: bool) -> DataFrame:
     shared, size = docs.sparkSession.sparkContext.broadcast(gate), SLICE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,20 +185,25 @@ def _counted(docs: DataFrame, gate: Gate, spelt: bool, schema: str) -> DataFrame
             yield from _count(texts, langs, shared.value, spelt)
             pa.default_memory_pool().release_unused()
 
-    return docs.mapInArrow(run, schema)
+    parts = docs.mapInArrow(run, _COUNTED if spelt else "code long, n long")
+    sums = parts.groupBy([c for c in parts.columns if c != "n"]).agg(F.sum("n").alias("n"))
+    enough = F.col("n") >= least
+    found = settle(sums.where(enough | (F.col("k") == 0) if spelt else enough), "counted-phrases")
+    shared.destroy()
+    return found
 
 
-def count_codes(docs: DataFrame, gate: Gate) -> DataFrame:
-    """``code, n`` of the phrases that the gate lets pass. Phrases may share a code, so a count
-    may be too large, never too small."""
-    return _counted(docs, gate, False, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+def count_codes(docs: DataFrame, gate: Gate, least: int) -> DataFrame:
+    """``code, n`` of what the gate lets pass, met ``least`` times or more. Phrases may share a
+    code, so a count may be too large, never too small."""
+    return _counted(docs, gate, least, False)
 
 
-def count_phrases(docs: DataFrame, gate: Gate) -> DataFrame:
-    """``lang, phrase, k, code, n`` of the phrases that the gate lets pass, counted exactly; with
-    single words also a row of length 0 with the number of all words of each language."""
-    counted = _counted(docs, gate, True, _COUNTED)
-    return counted.groupBy("lang", "phrase", "k", "code").agg(F.sum("n").alias("n"))
+def count_phrases(docs: DataFrame, gate: Gate, least: int) -> DataFrame:
+    """``lang, phrase, k, code, n`` of the phrases that the gate lets pass, counted exactly, those
+    met ``least`` times or more; where single words are counted, also a row of length 0 with the
+    number of all words of each language."""
+    return _counted(docs, gate, least, True)
 
 
 # --- passes over the corpus --------------------------------------------------------------------
@@ -216,21 +220,19 @@ def frequent_phrases(docs: DataFrame, min_count: int, longest: int = LONGEST) ->
     are short, and spells out and counts exactly the phrases whose codes come often enough.
     """
     drawn = settle(docs.sample(SAMPLE, seed=42), "collocation-sample")
-    enough = F.col("n") >= max(2, int(min_count * SAMPLE * SLACK))
-    bits = filled(empty_filter(), count_codes(drawn, Gate((1, 2))).where(enough))
+    least = max(2, int(min_count * SAMPLE * SLACK))
+    bits = filter_of(count_codes(drawn, Gate((1, 2)), least))
     if longest > 3:
-        bits = filled(bits, count_codes(drawn, Gate(tuple(range(3, longest)), bits, pairs=True)).where(enough))
+        bits = filter_of(count_codes(drawn, Gate(tuple(range(3, longest)), bits, pairs=True), least), bits)
     gate, found = Gate(tuple(range(1, longest + 1)), bits), None
     while True:
-        likely = filled(empty_filter(), count_codes(docs, gate).where(F.col("n") >= min_count))
-        counted = count_phrases(docs, replace(gate, only=likely)).where((F.col("n") >= min_count) | (F.col("k") == 0))
-        counted = settle(counted, "frequent-phrases")
+        likely = filter_of(count_codes(docs, gate, min_count))
+        counted = count_phrases(docs, replace(gate, only=likely), min_count)
         found = counted if found is None else found.union(counted)
-        failed = _outside(counted.where(F.col("k").between(1, longest - 1)), gate.now)
-        failed = settle(failed, "border-failures")
+        failed = settle(_outside(counted.where(F.col("k").between(1, longest - 1)), gate.now), "border-failures")
         if failed.isEmpty():
             return found
-        gate = Gate(tuple(range(2, longest + 1)), filled(gate.now, failed), before=gate.now)
+        gate = Gate(tuple(range(2, longest + 1)), filter_of(failed, gate.now), before=gate.now)
 
 
 def _outside(phrases: DataFrame, bits: np.ndarray) -> DataFrame:
