@@ -216,23 +216,25 @@ def frequent_phrases(docs: DataFrame, min_count: int, longest: int = LONGEST) ->
     A sample proposes phrases at a lowered threshold. A full pass counts the proposals and their
     negative border, which are the phrases both of whose shorter parts are proposed. Where the
     border holds a frequent phrase the proposals have failed: it joins them, and a further pass
-    counts the border that this adds, until no pass finds one. A pass adds up codes first, which
-    are short, and spells out and counts exactly the phrases whose codes come often enough.
+    counts the border that this adds, until no pass finds one. The first pass adds up codes, which
+    are short, before phrases whose codes come often enough are spelt out and counted exactly;
+    what failures add is little and spelt out at once.
     """
     drawn = settle(docs.sample(SAMPLE, seed=42), "collocation-sample")
     least = max(2, int(min_count * SAMPLE * SLACK))
     bits = filter_of(count_codes(drawn, Gate((1, 2)), least))
     if longest > 3:
         bits = filter_of(count_codes(drawn, Gate(tuple(range(3, longest)), bits, pairs=True), least), bits)
-    gate, found = Gate(tuple(range(1, longest + 1)), bits), None
+    gate = Gate(tuple(range(1, longest + 1)), bits)
+    likely = filter_of(count_codes(docs, gate, min_count))
+    found = counted = count_phrases(docs, replace(gate, only=likely), min_count)
     while True:
-        likely = filter_of(count_codes(docs, gate, min_count))
-        counted = count_phrases(docs, replace(gate, only=likely), min_count)
-        found = counted if found is None else found.union(counted)
         failed = settle(_outside(counted.where(F.col("k").between(1, longest - 1)), gate.now), "border-failures")
         if failed.isEmpty():
             return found
         gate = Gate(tuple(range(2, longest + 1)), filter_of(failed, gate.now), before=gate.now)
+        counted = count_phrases(docs, gate, min_count)
+        found = found.union(counted)
 
 
 def _outside(phrases: DataFrame, bits: np.ndarray) -> DataFrame:
