@@ -42,10 +42,18 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _best(similarity: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the k largest per row, of equal ones the smallest ids; ``ids`` ascend."""
-    order = np.argsort(-similarity, axis=1, kind="stable")[:, :k]
-    return order, np.take_along_axis(similarity, order, axis=1)
+def _best(similarity: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and places of the k largest finite values of each row, largest first; of equal ones
+    the first places."""
+    if similarity.shape[1] > k:
+        least = np.partition(similarity, -k, axis=1)[:, -k, None]
+        row, place = np.nonzero((similarity >= least) & np.isfinite(similarity))
+    else:
+        row, place = np.nonzero(np.isfinite(similarity))
+    order = np.lexsort((place, -similarity[row, place], row))
+    row, place = row[order], place[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[keep], place[keep]
 
 
 def _search(q: pd.DataFrame, c: pd.DataFrame, k: int, probed: bool) -> pd.DataFrame:
@@ -67,9 +75,8 @@ def _search(q: pd.DataFrame, c: pd.DataFrame, k: int, probed: bool) -> pd.DataFr
                 for row, wanted in enumerate(q["cells"].iloc[part]):
                     asked[row, [place[x] for x in wanted if x in place]] = True
                 sims[~asked[:, local]] = -np.inf
-            order, found = _best(sims, ids, k)
-            keep = np.isfinite(found)
-            out.append((np.repeat(mine[part], keep.sum(axis=1)), ids[order[keep]], found[keep]))
+            row, at = _best(sims, k)
+            out.append((mine[part][row], ids[at], sims[row, at]))
     parts = [np.concatenate(x) for x in zip(*out)] if out else [[], [], []]
     return pd.DataFrame(dict(zip(("id", "neighbour", "similarity"), parts)))
 
@@ -254,7 +261,7 @@ def _asked(rows: DataFrame, cells: Cells) -> DataFrame:
     return rows.select("id", "v").mapInArrow(run, f"id {kinds['id']}, v {kinds['v']}, shard long, cells array<int>")
 
 
-def indexed_neighbours(queries: DataFrame, rows: DataFrame, k: int, recall: float = 0.97, seed: int = 42) -> DataFrame:
+def indexed_neighbours(queries: DataFrame, rows: DataFrame, k: int, recall: float = 0.95, seed: int = 42) -> DataFrame:
     """As ``exact_neighbours``, but each query only looks into the cells nearest to it.
 
     Every row is stored in its nearest cell. How many cells are looked at is read off the true
@@ -289,7 +296,7 @@ def indexed_neighbours(queries: DataFrame, rows: DataFrame, k: int, recall: floa
     return _top(found, k)
 
 
-def neighbour_graph(df: DataFrame, id_col: str, vec: str, k: int = 15, recall: float = 0.97, seed: int = 42) -> DataFrame:
+def neighbour_graph(df: DataFrame, id_col: str, vec: str, k: int = 15, recall: float = 0.95, seed: int = 42) -> DataFrame:
     """``id, neighbour, similarity, place``: about the k rows of largest cosine for every row of
     ``df``, of equal ones the smallest ids, over all rows.
 
