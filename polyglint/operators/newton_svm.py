@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of a block of rows, and the step lengths tried along a direction.
-BLOCK_BYTES, STEPS = 1 << 22, (1.0, 0.5, 0.25, 0.125, 0.03125)
+BLOCK_BYTES, STEPS = 1 << 22, tuple(2.0**-k for k in range(16))
 
 
 def _dense(df: DataFrame, name: str) -> Column:

@@ -64,3 +64,12 @@ def test_nulls_and_no_rows(spark, data):
     assert got[900].prediction is None and got[901].prediction is not None
     with pytest.raises(ValueError):
         SquaredHingeSvm().fit(df.where(F.lit(False)))
+
+
+def test_closes_the_gap_where_planes_part_all_rows(spark):
+    rng = np.random.default_rng(8)
+    x = np.hstack([np.eye(4)[rng.integers(0, 4, 600)], rng.normal(size=(600, 2))])
+    df = table(spark, x, x[:, :4].argmax(axis=1)).repartition(3)
+    model = SquaredHingeSvm().fit(df)
+    assert model.gaps[-1] < 1e-3 and len(model.gaps) < 40
+    assert model.transform(df).where("prediction <> label").isEmpty()
