@@ -19,8 +19,9 @@ from ..session import cut_lineage
 CELL_ROWS, MOST_CELLS, TRAINING_ROWS = 256, 1 << 16, 1 << 17
 #: Cells of the first level, rows of it are learnt from.
 COARSE, COARSE_ROWS = 256, 1 << 14
-#: Stored rows and queries that meet in one task.
-SHARD_ROWS, QUERY_ROWS = 1 << 14, 1 << 14
+#: Stored rows and queries that meet in one task, and similarities held at once (32 MB). A query's
+#: best are handed on once for each shard it goes to, so shards are as large as memory allows.
+SHARD_ROWS, QUERY_ROWS, HELD = 1 << 16, 1 << 14, 1 << 22
 #: Cells looked at, at the least, and rows whose true neighbours tell how many it takes.
 LEAST_PROBES, TUNING_ROWS = 16, 256
 #: A vector that more than one row in so many has is joined by broadcast.
@@ -66,8 +67,9 @@ def _search(q: pd.DataFrame, c: pd.DataFrame, k: int, probed: bool) -> pd.DataFr
         if probed:
             local, cells = pd.factorize(c["cell"])
             place = {cell: i for i, cell in enumerate(cells)}
-        for start in range(0, len(q), 512):
-            part = slice(start, start + 512)
+        size = max(1, min(512, HELD // len(c)))
+        for start in range(0, len(q), size):
+            part = slice(start, start + size)
             sims = left[part] @ right.T
             sims[mine[part, None] == ids[None, :]] = -np.inf
             if probed:

@@ -58,7 +58,8 @@ def test_recall_on_a_table_of_many_cells(spark, points, monkeypatch):
     assert (row.queries, row.pairs) == (36, 360) and row.recall >= 0.9
 
 
-def test_a_cell_larger_than_a_shard_is_dealt_to_several():
+def test_a_cell_larger_than_a_shard_is_dealt_to_several(monkeypatch):
+    monkeypatch.setattr(nb, "SHARD_ROWS", 1 << 14)
     rng = np.random.default_rng(5)
     cells = nb._unit(rng.normal(size=(6, 4)))
     shards = nb._shards({0: 40_000, 1: 100, 2: 16_000, 3: 500}, cells)
