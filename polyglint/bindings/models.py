@@ -3,7 +3,8 @@
 from functools import reduce
 
 from pyspark.ml.feature import Word2VecModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -16,6 +17,7 @@ from ..operators import neighbours as nb
 from ..operators import ordered as od
 from ..operators import projection as pj
 from ..operators import ranking as rk
+from ..operators.wide_pca import fit_wide_pca
 from ..session import cut_lineage, scratch_path
 from ..sources import bundles
 from .aggregates import rounded
@@ -346,6 +348,61 @@ def _(t: Tables):
     return reduced.select("vec_id", F.size("reduced").alias("width"), (square <= 4).alias("shorter"))
 
 
+@query(
+    "d2_wide_reduction",
+    f"""WITH l AS ({_TFIDF_SQL}), n AS (SELECT count(*) AS n FROM documents),
+        c AS (SELECT term, (sum(weight * weight) - sum(weight) * sum(weight) / any_value(n)) / (any_value(n) - 1) AS var FROM l, n GROUP BY term)
+        SELECT n AS docs, CAST(50 AS INTEGER) AS width, (SELECT round(sum(var), 4) FROM c) AS variance,
+          (SELECT round(sum(var), 4) FROM (SELECT var FROM c ORDER BY var DESC LIMIT 50)) AS best_columns,
+          true AS centred, true AS uncorrelated, true AS kept_is_explained, true AS falling, true AS beats_columns FROM n""",
+)
+def _(t: Tables):
+    """The 8000-wide term weights on 50 components. Their variance is what the fit says, no two
+    vary together, and they hold more than the 50 columns that vary most, as the leading
+    components of any matrix do."""
+    vectors = cut_lineage(_tfidf(t))
+    fitted = fit_wide_pca(vectors, "features", 50)
+    coords = fitted.transform(vectors)
+    found = coords.agg(
+        F.count(F.lit(1)).alias("docs"), F.max(F.size("coords")).alias("width"),
+        Summarizer.mean(array_to_vector("coords")).alias("mean"),
+        Summarizer.variance(array_to_vector("coords")).alias("var"),
+        F.greatest(*[F.abs(F.corr(F.col("coords")[i], F.col("coords")[j])) for i, j in ((0, 1), (1, 2), (0, 49), (48, 49))]).alias("lean"),
+    )
+    columns = vectors.agg(Summarizer.variance(F.col("features")).alias("v")).select(vector_to_array("v").alias("v"))
+    columns = columns.select(F.reverse(F.array_sort("v")).alias("v")).scalar()
+    total = lambda values: F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+    means, kept = vector_to_array("mean"), vector_to_array("var")
+    said = F.array(*[F.lit(float(v)) for v in fitted.variances])
+    near = lambda a, b: F.abs(a - b) < 1e-9
+    best = total(F.slice("columns", 1, 50))
+    return found.withColumn("columns", columns).select(
+        "docs", "width", F.round(total("columns"), 4).alias("variance"), F.round(best, 4).alias("best_columns"),
+        F.forall(means, lambda v: F.abs(v) < 1e-9).alias("centred"), (F.col("lean") < 1e-6).alias("uncorrelated"),
+        F.forall(F.zip_with(kept, said, near), lambda v: v).alias("kept_is_explained"),
+        F.forall(F.sequence(F.lit(1), F.lit(49)), lambda i: F.get(said, i - 1) >= F.get(said, i)).alias("falling"),
+        (total(kept) > best).alias("beats_columns"),
+    )
+
+
+@query(
+    "d1_wide_against_exact",
+    """SELECT count(*) AS points, CAST(2 AS INTEGER) AS width, true AS holds_as_much, true AS holds_no_more, true AS same_rows FROM embeddings""",
+)
+def _(t: Tables):
+    """Two components of the same narrow vectors by both ways: the variances held, and how far
+    each row lies from the centre on them."""
+    units = _units(t)
+    exact, ours = pj.fit_pca(units, "features", 2), fit_wide_pca(units, "features", 2, extra=60, tol=1e-12)
+    both = exact.transform(ours.transform(units, "b"), "a")
+    size = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda acc, v: acc + v * v))
+    a, b = sum(exact.explained), sum(ours.explained)
+    return both.agg(
+        F.count(F.lit(1)).alias("points"), F.max(F.size("b")).alias("width"), F.lit(b >= a * (1 - 1e-6)).alias("holds_as_much"),
+        F.lit(b <= a * (1 + 1e-6)).alias("holds_no_more"), (F.max(F.abs(size("a") - size("b"))) < 1e-4).alias("same_rows"),
+    )
+
+
 _PLANE = "[embedding[1]::DOUBLE, embedding[2]::DOUBLE]"
 
 
@@ -489,7 +546,7 @@ def _(t: Tables):
 
 
 def _tfidf(t: Tables, size: int = 8000):
-    long = ft.tfidf_long(t.documents, "doc_id", "text", max_features=size)
+    long = cut_lineage(ft.tfidf_long(t.documents, "doc_id", "text", max_features=size))  # read twice
     index = ft.term_index(long.select("term").distinct())
     return ft.sparse_vectors(long, t.documents, "doc_id", index, size)
 
@@ -528,8 +585,6 @@ _HASHED_SQL = f"""WITH w AS (SELECT doc_id, unnest({chain_sql('text')}) AS word
 )
 def _(t: Tables):
     """Vectors derived from the words themselves, so that pooling is checked number by number."""
-    from pyspark.ml.functions import array_to_vector
-
     docs = t.documents.select("doc_id", tx.clean_tokens(tx.nfc(F.col("text")), F.col("lang")).alias("tokens"))
     digits = F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.ascii(F.substring(F.md5("word"), i, F.lit(1))).cast("double"))
     words = docs.select(F.explode("tokens").alias("word")).distinct().select("word", array_to_vector(digits).alias("vector"))

@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .features import l2_normalise
 from .ordered import exact_sample
+from .wide_pca import fit_wide_pca
+
+#: Columns up to which the covariance is formed on the driver (8 MB).
+MOST_COVARIANCE = 1024
 
 # --- principal components -------------------------------------------------------------------
 
@@ -38,8 +42,8 @@ class Projection:
 
 
 def fit_pca(df: DataFrame, vec: str, k: int = 2) -> Projection:
-    """PCA of a vector column. The covariance is width x width on the driver, so wide sparse
-    matrices need fewer columns first. Each component's largest loading is made positive."""
+    """PCA of a vector column. The covariance is width x width on the driver: ``fit_wide_pca``
+    takes wide sparse vectors. Each component's largest loading is made positive."""
     scaler = StandardScaler(withMean=True, withStd=False, inputCol=vec, outputCol="_centred").fit(df)
     model = PCA(k=k, inputCol="_centred", outputCol="_pc").fit(scaler.transform(df))
     loadings = model.pc.toArray()
@@ -53,10 +57,12 @@ def as_unit_vectors(df: DataFrame, array_col: str, out: str = "features") -> Dat
 
 
 def pre_reduce(df: DataFrame, vec: str, width: int, k: int = 50, out: str = "reduced") -> DataFrame:
-    """PCA to k dimensions when the vectors are wider; otherwise they pass through."""
+    """PCA to k dimensions when the vectors are wider; otherwise they pass through. Wide vectors
+    stay sparse and need no covariance."""
     if width <= k:
         return df.withColumn(out, vector_to_array(vec))
-    return fit_pca(df, vec, k).transform(df, out)
+    fitted = fit_wide_pca(df, vec, k) if width > MOST_COVARIANCE else fit_pca(df, vec, k)
+    return fitted.transform(df, out)
 
 
 # --- silhouette -----------------------------------------------------------------------------
