@@ -12,6 +12,7 @@ from ..functions.fixed_values import STOPWORDS
 from ..operators import classify as cl
 from ..operators import evaluate as ev
 from ..operators import features as ft
+from ..operators import fuzzy_graph as fz
 from ..operators import joins as jn
 from ..operators import neighbours as nb
 from ..operators import ordered as od
@@ -440,9 +441,9 @@ def _(t: Tables):
 
 
 def _graph(t: Tables, k: int = 15):
-    # The layout works on a seeded sample of at most 8000 points.
-    points = od.exact_sample(t.embeddings.select("vec_id", "embedding"), "vec_id", 8000)
-    return pj.knn_graph(points, "vec_id", "embedding", k)
+    """Membership weights between all rows, as links for the layout."""
+    weights = fz.fuzzy_graph(nb.neighbour_graph(t.embeddings, "vec_id", "embedding", k))
+    return weights.select(F.col("source").alias("id"), F.col("target").alias("neighbour"), F.col("weight").alias("similarity"))
 
 
 _EXACT_SQL = """WITH n AS (SELECT vec_id, [x::DOUBLE for x in embedding] AS v FROM embeddings),
@@ -469,6 +470,25 @@ def _(t: Tables):
     return rounded(truth, "similarity").withColumn("recalled", recall.select(F.col("recall") >= 0.9).scalar())
 
 
+_FUZZY_SQL = f"""WITH RECURSIVE e AS (SELECT id, neighbour, greatest(1 - sim, 0) AS d FROM ({_EXACT_SQL.format(where="", more=", sim")})),
+  m AS (SELECT id, coalesce(min(d) FILTER (WHERE d > 0), 0) AS rho, avg(d) AS mean, count(*) AS n, max(d) AS far FROM e GROUP BY id),
+  l AS (SELECT id, m.rho, m.mean, m.n, greatest(m.far - m.rho, 0) AS far, list(greatest(d - m.rho, 0)) AS ex FROM e JOIN m USING (id) GROUP BY ALL),
+  h AS (SELECT id, ex, n, 0::DOUBLE AS lo, CASE WHEN n > 1 THEN far / ln(n / log2(n)) ELSE 0 END AS hi, 0 AS step FROM l
+    UNION ALL SELECT id, ex, n, CASE WHEN over THEN lo ELSE mid END, CASE WHEN over THEN mid ELSE hi END, step + 1 FROM (
+      SELECT *, (lo + hi) / 2 AS mid, list_sum([CASE WHEN x <= 0 THEN 1 ELSE exp(-x / ((lo + hi) / 2)) END for x in ex]) > log2(n) AS over
+      FROM h WHERE step < 50)),
+  s AS (SELECT id, rho, greatest((lo + hi) / 2, 0.001 * mean) AS sigma FROM h JOIN m USING (id) WHERE step = 50),
+  w AS (SELECT id, neighbour, CASE WHEN d <= rho THEN 1 ELSE exp(-(d - rho) / sigma) END AS a FROM e JOIN s USING (id))
+  SELECT least(id, neighbour) AS source, greatest(id, neighbour) AS target,
+    round(sum(a) - CASE WHEN count(*) > 1 THEN max(a) * min(a) ELSE 0 END, 6) AS weight FROM w GROUP BY ALL"""
+
+
+@query("d5_fuzzy_graph", _FUZZY_SQL)
+def _(t: Tables):
+    """Each row's neighbours weighed by a bandwidth of its own, both directions united."""
+    return rounded(_graph(t).toDF("source", "target", "weight"), "weight")
+
+
 @query("d5_spectral_layout")
 def _(t: Tables):
     return pj.spectral_layout(_graph(t))
