@@ -4,13 +4,16 @@ from __future__ import annotations
 
 
 from pyspark.ml.feature import Word2Vec
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.text import char_ngrams, let, uni_and_bigrams, vector_tokens
+from ..session import cut_lineage
 from .aggregates import top_groups
 
 # --- TF-IDF ---------------------------------------------------------------------------------
@@ -157,6 +160,53 @@ def subword_vectors(
     return grams.groupBy("bucket").agg(Summarizer.mean(F.col("vector")).alias("vector"))
 
 
+def subword_sequences(
+    df: DataFrame, id_col: str, tokens: Column, low: int = 3, high: int = 6, buckets: int = 1 << 16
+) -> DataFrame:
+    """(id, turn, grams): n-gram buckets to train on, each bucket of each token exactly once.
+
+    A turn takes one n-gram of every token that has so many, in the order of the tokens, so the
+    neighbours of an n-gram come from the words around its own, not from its own. Which n-gram
+    meets which is drawn by a hash of the document and the place. Ids must be unique. A null
+    or empty token list, and a token without n-grams, adds nothing.
+    """
+    words = df.select(id_col, F.posexplode(tokens).alias("_at", "_word"))
+    drawn = F.transform(
+        subword_buckets(F.col("_word"), low, high, buckets),
+        lambda b: F.struct(F.xxhash64(b, F.col(id_col), F.col("_at")).alias("key"), b.alias("gram")),
+    )
+    cells = words.select(id_col, "_at", F.posexplode(F.array_sort(drawn)["gram"]).alias("_turn", "_gram"))
+    line = F.array_sort(F.collect_list(F.struct("_at", F.col("_gram").cast("string").alias("gram"))))
+    return cells.groupBy(id_col, F.col("_turn").alias("turn")).agg(line["gram"].alias("grams"))
+
+
+def train_subword_vectors(
+    df: DataFrame, id_col: str, tokens: Column, size: int = 128, window: int = 5, epochs: int = 10,
+    low: int = 3, high: int = 6, buckets: int = 1 << 16, seed: int = 42, partitions: int = 1,
+) -> DataFrame:
+    """(bucket, vector): skip-gram vectors of the n-gram buckets themselves.
+
+    The model on the driver has at most ``buckets`` rows, however many words the corpus has. A
+    corpus without n-grams has no vectors.
+    """
+    lines = cut_lineage(subword_sequences(df, id_col, tokens, low, high, buckets).select("grams"))
+    if lines.isEmpty():
+        return df.sparkSession.createDataFrame([], StructType().add("bucket", "integer").add("vector", VectorUDT()))
+    model = train_word2vec(lines, "grams", size, window, 1, epochs, seed, partitions)
+    return model.getVectors().select(F.col("word").cast("int").alias("bucket"), "vector")
+
+
+def subword_word_vectors(
+    words: DataFrame, word: str, vectors: DataFrame, low: int = 3, high: int = 6, buckets: int = 1 << 16
+) -> DataFrame:
+    """(word, vector) of distinct words, met in training or not: the mean of their n-grams'
+    vectors. A word none of whose n-grams was met is left out."""
+    known = words.select(F.col(word).alias("word")).distinct()
+    grams = known.select("word", F.explode(subword_buckets(F.col("word"), low, high, buckets)).alias("bucket"))
+    held = grams.join(F.broadcast(vectors), "bucket")  # at most ``buckets`` rows
+    return held.groupBy("word").agg(Summarizer.mean(F.col("vector")).alias("vector"))
+
+
 def subword_pool(
     df: DataFrame, id_col: str, tokens: Column, vectors: DataFrame, size: int, low: int = 3,
     high: int = 6, buckets: int = 1 << 16, out: str = "features",
@@ -184,6 +234,17 @@ def similar_words(model, word: str, k: int = 10) -> DataFrame:
     return model.findSynonyms(word, k)
 
 
+def nearest_words(vectors: DataFrame, word: str, k: int = 10) -> DataFrame:
+    """(word, similarity): the k nearest other words by cosine, of a table (word, vector) of any
+    size; ties by word. An unknown word has none; a zero vector is at 0 from every other."""
+    unit = vectors.select("word", l2_normalise(vector_to_array("vector")).alias("_u"))
+    asked = unit.where(F.col("word") == word).limit(1).select("_u").scalar()
+    products = F.zip_with("_u", "_asked", lambda a, b: a * b)
+    cosine = F.aggregate(products, F.lit(0.0), lambda acc, v: acc + v)
+    others = unit.where(F.col("word") != word).withColumn("_asked", asked).where("_asked is not null")
+    return others.select("word", cosine.alias("similarity")).orderBy(F.desc("similarity"), "word").limit(k)
+
+
 # --- labels and vectors ---------------------------------------------------------------------
 
 

@@ -155,3 +155,41 @@ def test_classifiers_beat_the_majority(spark):
     for r in out:
         assert r.accuracy > 0.6 and 0.5 < r.auc <= 1
     assert cl.run_block("none", None, "id", models, 3) is None
+
+
+def _two_topics(spark, n=300):
+    rng = random.Random(7)
+    groups = [["planting", "planter", "gardens", "seeding"], ["sailing", "sailor", "harbour", "anchors"]]
+    rows = [(i, [rng.choice(groups[i % 2]) for _ in range(12)]) for i in range(n)]
+    rows += [(n, None), (n + 1, []), (n + 2, ["gardens"])]
+    return spark.createDataFrame(rows, "id long, tokens array<string>")
+
+
+def test_every_ngram_is_trained_on_once_and_meets_other_words(spark):
+    df = spark.createDataFrame([(1, ["abcd", "xy", "abcd"]), (2, None), (3, [])], "id long, tokens array<string>")
+    lines = ft.subword_sequences(df, "id", F.col("tokens"), 3, 4).collect()
+    once = df.where("id = 1").select(F.explode("tokens").alias("w")).select(ft.subword_buckets(F.col("w"), 3, 4, 1 << 16).alias("b"))
+    want = sorted(str(b) for r in once.collect() for b in r.b)
+    assert sorted(g for r in lines for g in r.grams) == want
+    assert {r.id for r in lines} == {1} and max(len(r.grams) for r in lines) <= 3
+
+
+def test_subword_vectors_know_topics_and_unseen_words(spark):
+    df = _two_topics(spark)
+    grams = ft.train_subword_vectors(df, "id", F.col("tokens"), size=16, epochs=10, buckets=4096)
+    assert grams.groupBy("bucket").count().where("count > 1").isEmpty()
+    words = df.select(F.explode("tokens").alias("w")).distinct().unionByName(spark.createDataFrame([("gardened",)], "w string"))
+    vectors = ft.subword_word_vectors(words, "w", grams, buckets=4096).cache()
+    near = [r.word for r in ft.nearest_words(vectors, "gardened", 4).collect()]  # seen in no document
+    assert set(near) == {"planting", "planter", "gardens", "seeding"} and near[0] == "gardens"
+    similar = ft.nearest_words(vectors, "harbour", 8).collect()
+    assert {r.word for r in similar[:3]} == {"sailing", "sailor", "anchors"}
+    assert [r.similarity for r in similar] == sorted((r.similarity for r in similar), reverse=True)
+    assert ft.nearest_words(vectors, "nowhere").count() == 0
+
+
+def test_subword_training_without_words(spark):
+    df = spark.createDataFrame([(1, []), (2, None)], "id long, tokens array<string>")
+    grams = ft.train_subword_vectors(df, "id", F.col("tokens"), size=8)
+    pooled = ft.subword_pool(df, "id", F.col("tokens"), grams, 8).collect()
+    assert grams.count() == 0 and all(r.features.toArray().tolist() == [0.0] * 8 for r in pooled)
