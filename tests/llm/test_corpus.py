@@ -270,3 +270,12 @@ def test_pipeline(spark, tmp_path):
     assert {r.doc_id for r in pieces} == set(seen[3])
     encoder = Encoder.of(default_vocabulary())
     assert sum(r.length for r in pieces) == sum(len(x) for x in encoder.encode(list(seen[3].values()), 0))
+
+
+def test_line_dedup_keeps_columns_named_like_its_own(spark):
+    line = "one line that is long enough to be compared"
+    rows = [(1, line, 5, "x", True), (2, f"{line}\nanother", 6, None, False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _drop int, _Doc_Id string, _drop1 boolean")
+    found = line_dedup.dedup_lines(docs)
+    assert found.columns == [*docs.columns, "n_exact", "n_near", "n_links"]
+    assert sorted(tuple(r)[:5] for r in found.collect()) == [(1, line, 5, "x", True), (2, "another", 6, None, False)]
