@@ -18,8 +18,10 @@ TREES, ROOT, DEEP = 32, 5, 3
 #: Following rows of a region that a row is compared with; larger regions are looked at again.
 NEIGHBOURS = 8
 #: Bits of the coarse signature in which linked sets may differ: at the least similarity of 0.8
-#: more than this many of 128 differ in about one pair of a hundred thousand.
-MOST_BITS = 29
+#: more than this many of 128 differ in about one pair of ten million.
+MOST_BITS = 36
+#: By how much the pairs that a component may confirm in a round grow from round to round.
+GROWTH = 4
 _SEEDS = mixed(np.arange(1, TREES * ROOT + 129, dtype=np.uint64)) | np.uint64(1)
 _SKETCH = (
     "doc_id long, n long, set_a long, set_b long, bits_a long, bits_b long, roots array<long>, deep array<long>"
@@ -73,34 +75,112 @@ def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
-def _alike(n, other_n, bits_a, other_a, bits_b, other_b, percent: int):
-    """What linked sets show: sizes close enough and few differing bits."""
-    sizes = F.least(n, other_n) * 100 >= F.greatest(n, other_n) * percent
-    return sizes & (F.bit_count(bits_a.bitwiseXOR(other_a)) + F.bit_count(bits_b.bitwiseXOR(other_b)) <= MOST_BITS)
+_BESIDE = "a long, b long, gap int, own long, other long"
+_PLACED = "root long, deep long, id long, n long, bits_a long, bits_b long, component long"
 
 
-def neighbours(forest: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: rows of a region with the rows that follow in its order.
+def _gap(bits_a, other_a, bits_b, other_b):
+    return F.bit_count(bits_a.bitwiseXOR(other_a)) + F.bit_count(bits_b.bitwiseXOR(other_b))
+
+
+def _met(row: list[np.ndarray], fresh: int, percent: int) -> list[np.ndarray]:
+    """``a, b, gap, own, other`` of rows that stand at most NEIGHBOURS apart in one region, the
+    later one at ``fresh`` or behind, whose sizes and coarse signatures may belong to a link."""
+    root, _, ids, n, bits_a, bits_b, component = row
+    found = []
+    for step in range(1, min(NEIGHBOURS, len(ids) - 1) + 1):
+        j = np.arange(max(step, fresh), len(ids))
+        i = j - step
+        some = (root[i] == root[j]) & (component[i] != component[j])
+        some &= np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent
+        i, j = i[some], j[some]
+        gap = np.bitwise_count((bits_a[i] ^ bits_a[j]).view(np.uint64)).astype(np.int32)
+        gap += np.bitwise_count((bits_b[i] ^ bits_b[j]).view(np.uint64))
+        i, j, gap = (x[gap <= MOST_BITS] for x in (i, j, gap))
+        low, high = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
+        found.append([ids[low], ids[high], gap, component[low], component[high]])
+    kinds = (np.int64, np.int64, np.int32, np.int64, np.int64)
+    return [np.concatenate([f[k] for f in found]) if found else np.zeros(0, kind) for k, kind in enumerate(kinds)]
+
+
+def _closest(pairs: list[np.ndarray]) -> list[np.ndarray]:
+    """Of a batch's pairs those that are the closest of one of their rows."""
+    a, b, gap = pairs[:3]
+    end, place = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
+    order = np.lexsort((place, gap[place], end))
+    first = np.ones(len(order), bool)
+    first[1:] = end[order][1:] != end[order][:-1]
+    keep = np.unique(place[order[first]])
+    return [x[keep] for x in pairs]
+
+
+def neighbours(forest: DataFrame, percent: int, closest: bool = False) -> DataFrame:
+    """``a, b, gap, own, other``: rows of different components that stand next to each other in a
+    region's order, the differing bits of their coarse signatures, and their components.
 
     In the order of the deeper values the rows that follow have the longest common prefixes, so
-    the depth at which rows meet adapts to how full a region is.
+    the depth at which rows meet adapts to how full a region is. Rows are dealt by ranges of that
+    order, so a region that a huge group of copies shares lies in many tasks; the NEIGHBOURS
+    first and last rows of each task are looked at together afterwards. With ``closest`` only
+    the closest pairs of each row are handed on.
     """
-    order = Window.partitionBy("root").orderBy("deep", "id").rowsBetween(1, NEIGHBOURS)
-    row = F.struct("id", "n", "bits_a", "bits_b")
-    near = F.filter(
-        F.collect_list(row).over(order),
-        lambda x: (x["id"] != F.col("id"))
-        & _alike(F.col("n"), x["n"], F.col("bits_a"), x["bits_a"], F.col("bits_b"), x["bits_b"], percent),
+    names = [part.split()[0] for part in _PLACED.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carried, head = None, 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            row = [np.asarray(batch.column(name)) for name in names]
+            edge = [x[: max(0, NEIGHBOURS - head)] for x in row]
+            head += len(edge[0])
+            if len(edge[0]):
+                yield out(None, edge)
+            fresh = 0
+            if carried is not None:
+                fresh = len(carried[0])
+                row = [np.concatenate(both) for both in zip(carried, row)]
+            pairs = _met(row, fresh, percent)
+            if len(pairs[0]):
+                yield out(_closest(pairs) if closest else pairs, None)
+            carried = [x[-NEIGHBOURS:] for x in row]
+        if carried is not None:
+            yield out(None, carried)
+
+    def out(pairs: list[np.ndarray] | None, edge: list[np.ndarray] | None) -> pa.RecordBatch:
+        rows = len((pairs or edge)[0])
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+        left = [pa.array(x) for x in pairs] if pairs else [pa.nulls(rows, kind) for kind in kinds]
+        right = [pa.array(x) for x in edge] if edge else [pa.nulls(rows, pa.int64())] * len(names)
+        return pa.record_batch([*left, *right], ["a", "b", "gap", "own", "other", *names])
+
+    order = ["root", "deep", "id"]
+    dealt = forest.select(*names).repartitionByRange(*order).sortWithinPartitions(*order)
+    found = settle(dealt.mapInArrow(run, f"{_BESIDE}, {_PLACED}"), "near-rows")
+    inside = found.where("a is not null").select("a", "b", "gap", "own", "other")
+    edges = found.where("id is not null").select(*names).distinct()
+    following = Window.partitionBy("root").orderBy("deep", "id").rowsBetween(1, NEIGHBOURS)
+    met = edges.withColumn("near", F.collect_list(F.struct("id", "n", "bits_a", "bits_b", "component")).over(following))
+    met = met.select("id", "n", "bits_a", "bits_b", "component", F.explode("near").alias("x"))
+    gap = _gap(F.col("bits_a"), F.col("x.bits_a"), F.col("bits_b"), F.col("x.bits_b"))
+    met = met.withColumn("gap", gap).where(
+        (F.col("component") != F.col("x.component")) & (F.col("gap") <= MOST_BITS)
+        & (F.least("n", "x.n") * 100 >= F.greatest("n", "x.n") * percent)
+    )
+    forth = F.col("id") < F.col("x.id")
+    across = met.select(
+        F.least("id", "x.id").alias("a"), F.greatest("id", "x.id").alias("b"), F.col("gap").cast("int").alias("gap"),
+        F.when(forth, F.col("component")).otherwise(F.col("x.component")).alias("own"),
+        F.when(forth, F.col("x.component")).otherwise(F.col("component")).alias("other"),
     )
-    met = forest.select("id", near.alias("near")).where(F.size("near") > 0)
-    met = met.select("id", F.explode(F.col("near.id")).alias("other"))
-    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    return inside.union(across)
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets share ``percent`` of their union or more."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    names = pairs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text_a", 1_000_000):
@@ -111,24 +191,46 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
                 one, two = x[at_x[i] : at_x[i + 1]], y[at_y[i] : at_y[i + 1]]
                 shared = len(np.intersect1d(one, two, assume_unique=True))
                 keep[i] = shared > 0 and 100 * shared >= percent * (len(one) + len(two) - shared)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            yield batch.select(names).filter(pa.array(keep))
+
+    both = pairs.join(left, "a").join(right, "b").select(*names, "text_a", "text_b")
+    return both.mapInArrow(run, pairs.schema)
 
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(run, "a long, b long")
 
+def _chosen(pairs: DataFrame, each: int) -> DataFrame:
+    """Each component's closest pair of every one of ``each`` shares of its pairs."""
+    ends = pairs.select("*", F.explode(F.array("own", "other")).alias("end"))
+    share = F.pmod(F.xxhash64("a", "b"), F.lit(each)).alias("share")
+    best = ends.groupBy("end", share).agg(F.min(F.struct("gap", "a", "b", "own", "other")).alias("best"))
+    return best.select("best.*").distinct()
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components, with both."""
-    own, other = labels.toDF("a", "_own"), labels.toDF("b", "_other")
-    joined = pairs.select("a", "b").join(own, "a", "left").join(other, "b", "left")
-    named = joined.select("a", "b", F.coalesce("_own", "a").alias("own"), F.coalesce("_other", "b").alias("other"))
-    return named.where("own <> other")
 
+def _renamed(rows: DataFrame, merged: DataFrame, column: str) -> DataFrame:
+    """``column`` by what its component has been merged into."""
+    joined = rows.join(merged.toDF(column, "_merged"), column, "left")
+    return joined.withColumn(column, F.coalesce("_merged", column)).drop("_merged").select(rows.columns)
 
-def _bridges(pairs: DataFrame) -> DataFrame:
-    """One pair for each two components."""
-    between = pairs.groupBy(F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    return between.agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.a", "pair.b")
+
+def unite(pairs: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """``labels`` (``id, component``) after all components that a pair links are merged.
+
+    A round confirms each component's closest pair, merges what is linked, and drops the pairs
+    that failed or now lie within one component, so of a group of copies about one pair a copy is
+    ever looked at. Components left over may confirm GROWTH times as many pairs in each round, so
+    many failing pairs between two of them take few rounds; none is left out.
+    """
+    each = 1
+    while not pairs.isEmpty():
+        chosen = settle(_chosen(pairs, each), "chosen-pairs")
+        links = settle(confirm(chosen, texts, width, percent).select(F.col("own").alias("a"), F.col("other").alias("b")).distinct(), "links")
+        pairs = pairs.join(chosen.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", "gap", "own", "other")
+        if not links.isEmpty():
+            merged = components(links)
+            labels = settle(_renamed(labels, merged, "component"), "labels")
+            pairs = _renamed(_renamed(pairs, merged, "own"), merged, "other")
+        pairs = settle(pairs.where("own <> other"), "open-pairs")
+        each *= GROWTH
+    return labels
 
 
 def _crowded(forest: DataFrame) -> DataFrame:
@@ -175,7 +277,12 @@ def _left_over(crowded: DataFrame, labels: DataFrame, texts: DataFrame, width: i
         (F.col("component") != F.col("component_m"))
         & (F.least("left", "left_m") * (100 + percent) >= (F.col("n") + F.col("n_m")) * percent)
     )
-    return met.select(F.least("id", "id_m").alias("a"), F.greatest("id", "id_m").alias("b")).distinct()
+    forth = F.col("id") < F.col("id_m")
+    return met.select(
+        F.least("id", "id_m").alias("a"), F.greatest("id", "id_m").alias("b"), F.lit(0).alias("gap"),
+        F.when(forth, F.col("component")).otherwise(F.col("component_m")).alias("own"),
+        F.when(forth, F.col("component_m")).otherwise(F.col("component")).alias("other"),
+    ).distinct()
 
 
 def near_duplicates(
@@ -187,10 +294,11 @@ def near_duplicates(
     are linked; ``component_id`` is the smallest id reachable. Equal sets are one class. Each
     class has a row in every tree of the forest; a tree sorts its rows by signature, and rows
     with a common prefix of ``ROOT`` values meet their next neighbours in that order. Pairs are
-    confirmed on the full sets: first one pair for each class, then one for each
-    two components that pairs connect, then all pairs that are still in different ones, then, in regions with more rows than neighbours, every row outside
-    the largest component against all rows that share a rare shingle. So no number of copies makes all pairs, and
-    no link between components is left out for the size of a region.
+    confirmed on the full sets: first the closest of each class, whose links make components;
+    then the forest is read again for neighbours of different components, and ``unite`` merges
+    those that are linked; then, in regions with more rows than neighbours, every row outside the
+    largest component meets all rows that share a rare shingle. So no number of copies makes all
+    pairs, and no link between components is left out for the size of a region.
 
     A text without words or a null one is an empty set, linked with nothing; a null id is never
     linked and always kept; rows that share an id are one document with several texts, and only
@@ -200,30 +308,27 @@ def near_duplicates(
     sketches = settle(sketch(docs, doc_id, text, width), "sketches")
     some = sketches.where("n > 0 and doc_id is not null")
     classes = settle(some.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("id")), "classes")
-    heads = some.join(classes, ["set_a", "set_b"]).where("doc_id = id").select("id", "n", "bits_a", "bits_b", "roots", "deep")
+    heads = some.join(classes, ["set_a", "set_b"]).where("doc_id = id").dropDuplicates(["id", "set_a", "set_b"])
+    heads = settle(heads.select("id", "n", "bits_a", "bits_b", "roots", "deep"), "heads")
     tree = F.arrays_zip("roots", "deep").alias("trees")
     forest = heads.select("id", "n", "bits_a", "bits_b", F.inline(tree)).withColumnRenamed("roots", "root")
-    pairs = settle(neighbours(forest, percent), "near-pairs")
+    near = neighbours(forest.withColumn("component", F.col("id")), percent, closest=True)
+    first = settle(_chosen(near, 1), "first-pairs")
     release(spark)
     crowded = settle(_crowded(forest.select("root", "id")), "crowded")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(crowded.select("id"))
-    ids = settle(ids.distinct(), "near-ids")
-    texts = settle(_rows(docs, doc_id, text).join(ids, "doc_id").dropDuplicates(["doc_id"]), "near-texts")
+    ids = first.select(F.col("a").alias("id")).union(first.select("b")).union(crowded.select("id"))
+    labels = settle(ids.distinct().withColumn("component", F.col("id")), "labels")
+    texts = settle(_rows(docs, doc_id, text).join(labels.select(F.col("id").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"]), "near-texts")
     release(spark)
-    first = settle(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
-    links = settle(confirm(first, texts, width, percent), "links")
-    labels = components(links)
-    rest = settle(_apart(pairs.join(first, ["a", "b"], "left_anti"), labels), "rest-pairs")
-    bridges = settle(_bridges(rest), "bridges")
-    links = links.union(settle(confirm(bridges, texts, width, percent), "links"))
-    labels = components(links)
-    rest = settle(_apart(rest.join(bridges, ["a", "b"], "left_anti"), labels).select("a", "b"), "rest-pairs")
-    links = links.union(settle(confirm(rest, texts, width, percent), "links"))
-    labels = components(links)
+    links = settle(confirm(first.select("a", "b"), texts, width, percent), "links")
+    labels = settle(_renamed(labels, components(links), "component"), "labels")
+    tried = first.select("a", "b")
+    again = forest.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rest = neighbours(again, percent).distinct().join(tried, ["a", "b"], "left_anti")
+    labels = unite(settle(rest, "open-pairs"), labels, texts, width, percent)
     release(spark)
-    over = _left_over(crowded, labels, texts, width, percent).join(pairs, ["a", "b"], "left_anti")
-    links = links.union(settle(confirm(settle(over, "left-over"), texts, width, percent), "links"))
-    labels = components(links)
+    over = _left_over(crowded, labels, texts, width, percent).join(tried, ["a", "b"], "left_anti")
+    labels = unite(settle(over, "open-pairs"), labels, texts, width, percent)
     named = classes.join(labels, "id", "left").select("set_a", "set_b", F.coalesce("component", "id").alias("component"))
     named = settle(named, "class-components")
     out = sketches.select("doc_id", "n", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
