@@ -18,10 +18,10 @@ TREES, ROOT, DEEP = 32, 5, 3
 #: Following rows of a region that a row is compared with; larger regions are looked at again.
 NEIGHBOURS = 8
 #: Bits of the coarse signature in which linked sets may differ: at the least similarity of 0.8
-#: more than this many of 128 differ in about one pair of ten million.
-MOST_BITS = 36
+#: more than this many of 128 differ in less than one pair of a million.
+MOST_BITS = 33
 #: By how much the pairs that a component may confirm in a round grow from round to round.
-GROWTH = 4
+GROWTH = 64
 _SEEDS = mixed(np.arange(1, TREES * ROOT + 129, dtype=np.uint64)) | np.uint64(1)
 _SKETCH = (
     "doc_id long, n long, set_a long, set_b long, bits_a long, bits_b long, roots array<long>, deep array<long>"
