@@ -17,17 +17,19 @@ from .common import slices
 #: A comment, a raw element up to its end, or a tag; what lies between is text.
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|textarea|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+    r"|<(?P<raw>script|style|noscript|template|svg|iframe|textarea|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
     r".*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|<[!?/](?:[^>]*)(?:>|\Z)",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+#: One attribute after another, so that names are never looked for in values or in longer names.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?|[\"'/=]")
+_TELLING = frozenset("class id role hidden aria-hidden".split())
 _NAME_PARTS = re.compile(r"[a-z]+")
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr math mi mn mo mrow ms mtext msub msup msubsup mfrac msqrt".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SHELL_TAGS = frozenset("nav footer aside form head menu button dialog fieldset".split())
@@ -40,6 +42,11 @@ _SHELL_NAMES = frozenset(
 #: Names that tell a page's frame only where no article is open.
 _FRAME_NAMES = frozenset("header masthead banner notice notices notification alert topbar toolbar copyright legal".split())
 
+#: Names that in an article may as well tell what a part is about: there the tree decides.
+_TOPICS = frozenset("social sharing share search widget menu promotion consent".split())
+#: Last parts of names that tell readers' comments where no article is open.
+_READERS = frozenset("comment comments disqus replies respond".split())
+
 #: First parts of names that tell how a page is laid out around such a part.
 _LAYOUT = frozenset("has no with without content main page".split())
 
@@ -82,7 +89,16 @@ _HINTED = (
     (6, 0.0, 44, 0.0, 38, 0.0, 0, 0, 0), (12, 0.0, 70, 0.0, 40, 0.0, 0, 0, 0), (18, 0.2, 50, 0.0, 30, 0.0, 0, 0, 0),
     (3, 0.0, 36, 0.0, 0, 0.0, 0, 0, 0), (45, 0.6, 40, 0.0, 50, 0.0, 0, 0, 0), (5, 1.0, 60, 0.0, 60, 0.0, 0, 0, 0),
 )
-LABELLED = tuple((*row[:-1], hint, row[-1]) for hint, rows in enumerate((_UNHINTED, _HINTED)) for row in rows)
+#: Blocks of an article under a name that may be a frame's or a topic: links tell which.
+_TOPICAL = (
+    (62, 0.0, 40, 0.0, 55, 0.0, 0, 1, 1), (3, 0.0, 30, 0.0, 8, 0.0, 0, 1, 1), (30, 0.2, 30, 0.0, 12, 1.0, 0, 1, 1),
+    (1, 0.0, 9, 0.0, 0, 0.0, 0, 1, 1), (18, 0.3, 2, 1.0, 3, 1.0, 0, 1, 1), (120, 0.1, 6, 0.0, 70, 0.0, 0, 1, 1),
+    (2, 1.0, 40, 0.0, 2, 1.0, 0, 1, 0), (12, 0.8, 60, 0.0, 0, 0.0, 0, 1, 0), (30, 0.9, 4, 0.0, 44, 0.0, 0, 1, 0),
+    (5, 0.6, 1, 1.0, 50, 0.0, 0, 1, 0), (62, 0.7, 40, 0.0, 55, 0.0, 0, 1, 0), (38, 0.0, 52, 0.0, 41, 0.0, 1, 1, 0),
+)
+LABELLED = tuple(
+    (*row[:-1], hint, row[-1]) for hint, rows in enumerate((_UNHINTED, _HINTED, _TOPICAL)) for row in rows
+)
 
 
 @dataclass
@@ -128,39 +144,47 @@ def decide(tree: Node, x: tuple) -> bool:
     return tree.keep
 
 
-def _shell_of(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, bool]:
-    """Whether an element is shell by its tag or hidden, shell by a whole name, or has a hint of it.
+def _shell_of(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, int]:
+    """Whether an element is shell by its tag or hidden, shell by a whole name, or has a hint of it
+    (2: by a whole name that may be a topic of the article).
 
     An ``article`` or ``main`` is no shell by its names. In an article ids are places to link to,
     except those of a ``div``.
     """
     hard = tag in _SHELL_TAGS or tag == "header" and not in_article
-    named = hint = False
+    named, hint = False, 0
     if not attrs or hard or tag in ("html", "body"):
         return hard, named, hint
     for name, value in _ATTRIBUTE.findall(attrs):
         name = name.lower()
+        if name not in _TELLING:
+            continue
         if name == "hidden" or name == "aria-hidden" and "true" in value.lower():
-            return tag != "main", False, False
+            return tag != "main", False, 0
         if tag in ("article", "main"):
             continue
         for token in value.lower().strip("\"'").split():
             parts = _NAME_PARTS.findall(token)
             names = _SHELL_NAMES if in_article else _SHELL_NAMES | _FRAME_NAMES
             if token in names and (name != "id" or not in_article or tag == "div"):
-                named = True
+                if in_article and token in _TOPICS:
+                    hint = 2
+                else:
+                    named = True
             elif not names.isdisjoint(parts) and parts[0] not in _LAYOUT:
-                hint = True
+                if not in_article and parts[-1] in _READERS:
+                    named = True
+                hint = max(hint, 1)
     return hard, named, hint
 
 
-def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
+def blocks(page: str) -> list[tuple[str, int, int, bool, bool, int]]:
     """Flat text blocks in page order: text, words, words in links, in the shell, in an article, hinted."""
-    found: list[tuple[str, int, int, bool, bool, bool]] = []
+    found: list[tuple[str, int, int, bool, bool, int]] = []
     # tag, and whether it or one around it is shell by tag, shell by name, an article, hinted
-    open_tags: list[tuple[str, bool, bool, bool, bool]] = []
+    open_tags: list[tuple[str, bool, bool, bool, int]] = []
     parts: list[str] = []
-    linked, links, shell, article, hinted = 0, 0, False, False, False
+    linked, links, shell, article, hinted = 0, 0, False, False, 0
 
     def close() -> None:
         nonlocal parts, linked
@@ -204,16 +228,16 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
                 while open_tags and open_tags[-1][0] in ("nav", "header", "footer", "head", "ul", "ol", "li"):
                     open_tags.pop()
                 if not open_tags or not open_tags[-1][3]:  # what holds an article is no shell by its name
-                    open_tags = [(t, hard, False, inner, False) for t, hard, _, inner, _ in open_tags]
-            _, hard, named, inner, hint = open_tags[-1] if open_tags else ("", False, False, False, False)
+                    open_tags = [(t, hard, False, inner, 0) for t, hard, _, inner, _ in open_tags]
+            _, hard, named, inner, hint = open_tags[-1] if open_tags else ("", False, False, False, 0)
             own = _shell_of(tag, m["attrs"], inner)
             if tag in _INLINE:  # no hint cuts a sentence, and in code a "comment" is text
-                own = (own[0], own[1] and not any(t[0] == "pre" for t in open_tags), False)
+                own = (own[0], own[1] and not any(t[0] == "pre" for t in open_tags), 0)
             if tag in _INLINE and any(own) and not (hard or named):
                 close()
             inner = inner or tag in ("article", "main")
-            open_tags.append((tag, hard or own[0], named or own[1], inner, hint or own[2]))
-        _, hard, named, inner, hint = open_tags[-1] if open_tags else ("", False, False, False, False)
+            open_tags.append((tag, hard or own[0], named or own[1], inner, max(hint, own[2])))
+        _, hard, named, inner, hint = open_tags[-1] if open_tags else ("", False, False, False, 0)
         if (hard or named, inner, hint) != (shell, article, hinted):
             close()
             shell, article, hinted = hard or named, inner, hint
@@ -243,7 +267,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
     ``LABELLED`` judges a block by its words and link density, those of its neighbours, and
     whether it stands in the page's shell (menus, headers, footers, sidebars, adverts, forms,
     notices, comments, hidden parts) or in an article. A class, role or id tells the shell if a
-    whole name of it does; a part of a name is a hint the tree weighs. Rows are handled alone: a null page or
+    whole name of it does; a part of a name, or inside an article a name that may be its topic, is
+    a hint the tree weighs. Rows are handled alone: a null page or
     one without main text gives an empty text, repeated rows give equal rows, ids and urls pass
     through, other columns are not read.
     """

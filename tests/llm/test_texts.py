@@ -141,6 +141,26 @@ def test_html(spark):
     assert html_text.extract(table.limit(0)).count() == 0
 
 
+LONG = ("long words here " * 12).strip()
+
+
+@pytest.mark.parametrize("page,text", [
+    ('<article style="overflow:hidden"><p>real text</p></article>', "real text"),
+    ("<div style='overflow:hidden'><article><p>real text</p></article></div>", "real text"),
+    ("<article><p title='the hidden valley'>one</p><section data-hidden='false'>two</section><h2 data-x='class=search'>three</h2></article>",
+     "one\ntwo\nthree"),
+    ("<article><p hidden>no</p><p aria-hidden=\"true\">no</p><p aria-hidden=false class = 'x'>yes</p><p title=a=b hidden>no</p></article>", "yes"),
+    (f"<article><div class='social'><p>{LONG}</p></div><section class='search'><p>How search works</p></section></article>",
+     f"{LONG}\nHow search works"),
+    (f"<article><p>{LONG}</p><div class='social'><a href='/x'>Share this</a> <a href='/y'>Post</a></div></article>", LONG),
+    ("<article><div class=widget><p>one</p></div><div class='ad'>no</div></article>", "one"),
+    ("<article><p>a <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b</p><object>two</object></article>", "a x=1 b\ntwo"),
+    (f"<article><p>one</p></article><section class='user-comments'><p>{LONG}</p></section>", "one"),
+])
+def test_html_attributes_and_topics(page, text):
+    assert html_text.main_text(page, html_text.train()) == text
+
+
 @pytest.mark.parametrize("page,text", [
     ("<div class='has-sidebar'><article><p>one</p></article></div>", "one"),
     ("<div class='sidebar'><main><p>one</p><div class='comments'>no</div></main></div>", "one"),
