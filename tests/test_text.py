@@ -1,5 +1,7 @@
 """Edge cases of the text expressions."""
 
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +50,14 @@ def test_composition(spark):
     assert values(spark, ["é", "plain", None], tx.nfc(F.col("t"))) == ["é", "plain", None]
 
 
+def test_composition_of_long_texts_and_many_scripts_stays_in_the_jvm(spark):
+    texts = ["e\u0301", "a\u0323\u0307", "a\u0307\u0323", "\u1100\u1161\u11a8", "\u0915\u093c", "\U0001d15e", "\u212b", "", "x" * 100_000 + "u\u0308", None]
+    out = values(spark, texts, tx.nfc(F.col("t")))
+    assert out == [None if t is None else unicodedata.normalize("NFC", t) for t in texts]
+    plan = spark.range(1).select(tx.nfc(F.col("id").cast("string")))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_stopwords_by_language(spark):
     rows = [("fr", "le chat the der x"), ("de", "le chat the der x"), (None, "le chat the der x")]
     out = values(spark, rows, tx.drop_stopwords(tx.words(F.col("t")), F.col("l")), "l string, t string")
