@@ -16,6 +16,8 @@ from ..session import cut_lineage
 HELD_CELLS, HELD_ROWS = 1 << 22, 256
 #: Columns whose sums travel as one row: 250 KB at 60 directions.
 BLOCK = 512
+#: Blocks of directions that the driver keeps, with their products (31 MB at 8,000 x 60).
+MOST_BLOCKS = 4
 
 
 # --- within a task ----------------------------------------------------------------------------
@@ -148,11 +150,13 @@ def fit_wide_pca(
 ) -> WideProjection:
     """The ``k`` leading principal components of a vector column of any width.
 
-    A random block of k + ``extra`` directions is multiplied by the covariance and made
-    orthonormal again and again, one pass over the rows each time, until the variance it holds
-    grows by less than ``tol`` of itself or after ``passes``. The covariance itself is never
-    formed: the driver and each task hold width x (k + extra) numbers, and rows stay sparse.
-    Where the block spans all columns the result is exact after one pass.
+    A random block of k + ``extra`` directions is multiplied by the covariance, one pass over the
+    rows. What the product holds outside the directions met so far is the next block (block
+    Lanczos), until the variance of the best k grows by less than ``tol`` of itself or after
+    ``passes``. Beyond MOST_BLOCKS blocks the directions are cut to the leading k + extra found.
+    The covariance itself is never formed: a task holds width x (k + extra) numbers, the driver
+    2 * MOST_BLOCKS times as many, and rows stay sparse. Where the directions span all columns
+    the result is exact, however close the variances lie.
 
     Null vectors are left out. With fewer than two rows nothing varies: all variances are 0.
     There are at most as many components as columns. Each component's largest loading is
@@ -171,22 +175,41 @@ def fit_wide_pca(
 
     tasks = 2 * df.sparkSession.sparkContext.defaultParallelism
     rows = cut_lineage(known.select(*_cells(vec))).coalesce(tasks)  # one sum a task, not one a file
+    basis, images = np.zeros((width, 0)), np.zeros((width, 0))
     held, done = 0.0, 0
     while True:
         moved, done = _scatter(rows, mean, block) / (n - 1), done + 1
-        inner = block.T @ moved
+        basis, images = np.hstack([basis, block]), np.hstack([images, moved])
+        inner = basis.T @ images
         variances, turn = np.linalg.eigh((inner + inner.T) / 2)
-        best = np.argsort(-variances, kind="stable")[:k]
-        variances, turn = np.maximum(variances[best], 0.0), turn[:, best]
-        if many == width or done >= passes or variances.sum() - held <= tol * variances.sum():
+        order = np.argsort(-variances, kind="stable")
+        lead, best = order[:many], order[:k]
+        kept = np.maximum(variances[best], 0.0)
+        if basis.shape[1] == width or done >= passes or kept.sum() - held <= tol * kept.sum():
             break
-        held, block = variances.sum(), np.linalg.qr(moved)[0]
-    components = block @ turn
-    missed = np.linalg.norm(moved @ turn - components * variances, axis=0)
+        missed = images @ turn[:, lead] - basis @ (turn[:, lead] * variances[lead])
+        block = _outside(missed, basis, kept[0])
+        if not block.shape[1]:
+            break
+        held = kept.sum()
+        if basis.shape[1] + block.shape[1] > MOST_BLOCKS * many:
+            basis, images = basis @ turn[:, lead], images @ turn[:, lead]
+    components, variances = basis @ turn[:, best], kept
+    missed = np.linalg.norm(images @ turn[:, best] - components * variances, axis=0)
     residuals = missed / np.maximum(variances, np.finfo(float).tiny)
     return WideProjection(vec, mean, _signed(components), variances, total, residuals, done)
 
 
+def _outside(found: np.ndarray, basis: np.ndarray, scale: float) -> np.ndarray:
+    """An orthonormal basis of what ``found`` holds outside ``basis``, rounding left out."""
+    for _ in range(2):  # once more, as the first difference loses digits
+        found = found - basis @ (basis.T @ found)
+    left, size, _ = np.linalg.svd(found, full_matrices=False)
+    most = basis.shape[0] - basis.shape[1]
+    left = left[:, size > 1e-13 * scale][:, :most]
+    return np.linalg.qr(left - basis @ (basis.T @ left))[0]
+
+
 def _signed(components: np.ndarray) -> np.ndarray:
     peaks = components[np.abs(components).argmax(axis=0), np.arange(components.shape[1])]
     return components * np.where(peaks < 0, -1.0, 1.0)

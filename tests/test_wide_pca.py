@@ -114,3 +114,14 @@ def test_wide_vectors_are_reduced_without_a_covariance(spark, monkeypatch):
     dense = _topics(n=60)
     reduced = pj.pre_reduce(_frame(spark, dense), "v", width=1500, k=5)
     assert {len(r.reduced) for r in reduced.collect()} == {5}
+
+
+def test_close_variances_are_told_apart_as_exactly_as_by_a_covariance(spark):
+    rng = np.random.default_rng(5)
+    turn = np.linalg.qr(rng.standard_normal((64, 64)))[0]
+    variances = np.linspace(1.0, 0.98, 64)
+    dense = (turn * np.sqrt(variances)).T
+    dense = np.vstack([dense, -dense])
+    found = wp.fit_wide_pca(_frame(spark, dense, sparse=False), "v", 2, extra=60, tol=1e-12)
+    assert np.abs(np.abs(np.sum(found.components * turn[:, :2], axis=0)) - 1).max() < 1e-9
+    assert found.passes <= 3
