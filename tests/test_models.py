@@ -75,6 +75,16 @@ def test_tfidf_weights(spark):
         assert sum(w * w for (d, _), w in out.items() if d == i) == pytest.approx(1)
 
 
+def test_terms_are_counted_within_their_row(spark):
+    rows = [(1, ["b", "a", "b", None, "b"]), (2, []), (3, None), (4, ["z"])]
+    docs = spark.createDataFrame(rows, "id int, ts array<string>")
+    counts = ft.term_counts(docs, "id", F.col("ts"))
+    out = {(r.id, r.term): r.tf for r in counts.collect()}
+    assert out == {(1, "a"): 1, (1, "b"): 3, (1, None): 1, (4, "z"): 1}
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+
+
 def test_sparse_vectors_cover_empty_documents(spark):
     docs = spark.createDataFrame([(1, "a a b"), (2, "a b"), (3, "")], "id int, t string")
     long = ft.tfidf_long(docs, "id", "t", max_df=1.0, ngrams=False)
