@@ -8,6 +8,7 @@ import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_point
 from polyglint.operators import classify as cl
 from polyglint.operators import evaluate as ev
 from polyglint.operators import features as ft
@@ -85,6 +86,12 @@ def test_terms_are_counted_within_their_row(spark):
     assert "Exchange" not in plan and "Aggregate" not in plan
 
 
+def test_term_vectors_are_digested_without_filling_in_zeros(spark):
+    rows = entry_point.queries()["e1_tfidf_vectors"](spark, "/root/testdata/sf0.001")
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert "unwrap_udt" in plan and "UDF(features" not in plan
+
+
 def test_sparse_vectors_cover_empty_documents(spark):
     docs = spark.createDataFrame([(1, "a a b"), (2, "a b"), (3, "")], "id int, t string")
     long = ft.tfidf_long(docs, "id", "t", max_df=1.0, ngrams=False)
