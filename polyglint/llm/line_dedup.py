@@ -19,6 +19,8 @@ CHARS_PER_EDIT = 20
 #: allowed for have t + 1, t + 2 and t + 3 segments at these levels; 1, 2 and 3 have to match.
 LEVELS = (2, 8, 32)
 FEW = 32
+#: Bits of the bitmap that tells lines without a candidate before their texts are moved (16 MB).
+BITS = 1 << 27
 
 
 def lines_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 20) -> DataFrame:
@@ -144,9 +146,23 @@ def candidates(
 
 def _texts(lines: DataFrame, ids: DataFrame) -> DataFrame:
     """The lines of ``ids``; merged at every size, as ids grow with the lines."""
+    lines = _likely(lines, ids)
     return lines.join(ids.hint("merge"), "id").groupBy("id").agg(F.any_value("line").alias("line"))
 
 
+def _likely(lines: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id, line`` of all lines of ``ids``, and of others only where their bits are the same.
+
+    The bitmap has BITS bits however many ids there are, so lines are left out where they stand.
+    """
+    spot = F.pmod(F.xxhash64("id"), F.lit(BITS))
+    place = [F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("bit")]
+    marks = ids.select(*place).repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    asked = lines.select("id", "line", *place).join(F.broadcast(marks), "bucket")
+    byte = "int(conv(hex(substring(bits, int(bit div 8) + 1, 1)), 16, 10))"
+    return asked.where(f"shiftright({byte}, int(bit % 8)) % 2 = 1").select("id", "line")
+
+
 def near_lines(
     lines: DataFrame, threshold: int = THRESHOLD, chars_per_edit: int = CHARS_PER_EDIT
 ) -> DataFrame:

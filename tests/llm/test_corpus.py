@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from helpers import DOCS, documents, kept_bytes, near_components, rows
 
 from polyglint.llm import decontaminate, line_dedup, near_dedup, packing, substring_dedup
@@ -279,3 +280,13 @@ def test_line_dedup_keeps_columns_named_like_its_own(spark):
     found = line_dedup.dedup_lines(docs)
     assert found.columns == [*docs.columns, "n_exact", "n_near", "n_links"]
     assert sorted(tuple(r)[:5] for r in found.collect()) == [(1, line, 5, "x", True), (2, "another", 6, None, False)]
+
+
+def test_texts_of_lines_without_a_candidate_stay_where_they_are(spark):
+    text = F.concat(F.lit("a line that is long enough "), F.col("id"))
+    lines = line_dedup.lines_of(spark.range(3000).select(F.col("id").alias("doc_id"), text.alias("text")))
+    ids = lines.where("doc_id % 100 = 0").select("id")
+    likely = line_dedup._likely(lines, ids)
+    assert likely.join(ids, "id").count() == 30 and likely.count() < 40
+    assert line_dedup._texts(lines, ids).count() == 30
+    assert line_dedup._likely(lines, ids.limit(0)).count() == 0
