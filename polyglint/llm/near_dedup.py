@@ -199,12 +199,18 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
 
 def _chosen(pairs: DataFrame, each: int) -> DataFrame:
     """Each component's closest pair of every one of ``each`` shares of its pairs."""
-    ends = pairs.select("*", F.explode(F.array("own", "other")).alias("end"))
     share = F.pmod(F.xxhash64("a", "b"), F.lit(each)).alias("share")
-    best = ends.groupBy("end", share).agg(F.min(F.struct("gap", "a", "b", "own", "other")).alias("best"))
+    whole = F.struct("gap", "a", "b", "own", "other")
+    sides = [pairs.groupBy(F.col(side).alias("end"), share).agg(F.min(whole).alias("best")) for side in ("own", "other")]
+    best = sides[0].union(sides[1]).groupBy("end", "share").agg(F.min("best").alias("best"))
     return best.select("best.*").distinct()
 
 
+def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    """The pairs that aren't among those ``tried``."""
+    return pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti").select(pairs.columns)
+
+
 def _renamed(rows: DataFrame, merged: DataFrame, column: str) -> DataFrame:
     """``column`` by what its component has been merged into."""
     joined = rows.join(merged.toDF(column, "_merged"), column, "left")
@@ -223,12 +229,11 @@ def unite(pairs: DataFrame, labels: DataFrame, texts: DataFrame, width: int, per
     while not pairs.isEmpty():
         chosen = settle(_chosen(pairs, each), "chosen-pairs")
         links = settle(confirm(chosen, texts, width, percent).select(F.col("own").alias("a"), F.col("other").alias("b")).distinct(), "links")
-        pairs = pairs.join(chosen.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", "gap", "own", "other")
         if not links.isEmpty():
             merged = components(links)
             labels = settle(_renamed(labels, merged, "component"), "labels")
-            pairs = _renamed(_renamed(pairs, merged, "own"), merged, "other")
-        pairs = settle(pairs.where("own <> other"), "open-pairs")
+            pairs = _renamed(_renamed(pairs, merged, "own"), merged, "other").where("own <> other")
+        pairs = settle(_untried(pairs, chosen), "open-pairs")
         each *= GROWTH
     return labels
 
@@ -313,6 +318,7 @@ def near_duplicates(
     tree = F.arrays_zip("roots", "deep").alias("trees")
     forest = heads.select("id", "n", "bits_a", "bits_b", F.inline(tree)).withColumnRenamed("roots", "root")
     near = neighbours(forest.withColumn("component", F.col("id")), percent, closest=True)
+    near = settle(near.distinct(), "closest-pairs")
     first = settle(_chosen(near, 1), "first-pairs")
     release(spark)
     crowded = settle(_crowded(forest.select("root", "id")), "crowded")
@@ -321,13 +327,16 @@ def near_duplicates(
     texts = settle(_rows(docs, doc_id, text).join(labels.select(F.col("id").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"]), "near-texts")
     release(spark)
     links = settle(confirm(first.select("a", "b"), texts, width, percent), "links")
-    labels = settle(_renamed(labels, components(links), "component"), "labels")
-    tried = first.select("a", "b")
+    merged = components(links)
+    labels = settle(_renamed(labels, merged, "component"), "labels")
+    close = _renamed(_renamed(near, merged, "own"), merged, "other").where("own <> other")
+    labels = unite(settle(_untried(close, first), "open-pairs"), labels, texts, width, percent)
+    tried = near.select("a", "b")
     again = forest.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rest = neighbours(again, percent).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = _untried(neighbours(again, percent).distinct(), tried)
     labels = unite(settle(rest, "open-pairs"), labels, texts, width, percent)
     release(spark)
-    over = _left_over(crowded, labels, texts, width, percent).join(tried, ["a", "b"], "left_anti")
+    over = _untried(_left_over(crowded, labels, texts, width, percent), tried)
     labels = unite(settle(over, "open-pairs"), labels, texts, width, percent)
     named = classes.join(labels, "id", "left").select("set_a", "set_b", F.coalesce("component", "id").alias("component"))
     named = settle(named, "class-components")

@@ -290,3 +290,12 @@ def test_texts_of_lines_without_a_candidate_stay_where_they_are(spark):
     assert likely.join(ids, "id").count() == 30 and likely.count() < 40
     assert line_dedup._texts(lines, ids).count() == 30
     assert line_dedup._likely(lines, ids.limit(0)).count() == 0
+
+
+def test_closest_pairs_of_a_round_without_doubling_the_pairs(spark):
+    rows = [(1, 2, 9, 1, 2), (1, 3, 4, 1, 3), (2, 3, 7, 2, 3), (3, 4, 8, 3, 4), (2, 4, 8, 2, 4)]
+    pairs = spark.createDataFrame(rows, "a long, b long, gap int, own long, other long")
+    chosen = near_dedup._chosen(pairs, 1)
+    assert {(r.a, r.b) for r in chosen.collect()} == {(1, 3), (2, 3), (2, 4)}
+    assert "Generate" not in chosen._jdf.queryExecution().toString()
+    assert {(r.a, r.b) for r in near_dedup._untried(pairs, chosen).collect()} == {(1, 2), (3, 4)}
