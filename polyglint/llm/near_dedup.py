@@ -239,9 +239,9 @@ def unite(pairs: DataFrame, labels: DataFrame, texts: DataFrame, width: int, per
 
 
 def _crowded(forest: DataFrame) -> DataFrame:
-    """Rows of the regions that hold more rows than a row is compared with."""
+    """``root`` of the regions that hold more rows than a row is compared with."""
     sizes = forest.groupBy("root").agg(F.count("*").alias("size"))
-    return forest.join(settle(sizes.where(F.col("size") > NEIGHBOURS + 1).select("root"), "crowded-regions"), "root")
+    return sizes.where(F.col("size") > NEIGHBOURS + 1).select("root")
 
 
 def _left_over(crowded: DataFrame, labels: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -300,10 +300,11 @@ def near_duplicates(
     class has a row in every tree of the forest; a tree sorts its rows by signature, and rows
     with a common prefix of ``ROOT`` values meet their next neighbours in that order. Pairs are
     confirmed on the full sets: first the closest of each class, whose links make components;
-    then the forest is read again for neighbours of different components, and ``unite`` merges
-    those that are linked; then, in regions with more rows than neighbours, every row outside the
-    largest component meets all rows that share a rare shingle. So no number of copies makes all
-    pairs, and no link between components is left out for the size of a region.
+    then regions in which every row meets every other are read again for pairs of different
+    components, and ``unite`` merges those that are linked; in regions with more rows than that,
+    every row outside the largest component meets all rows that share a rare shingle, so their
+    other neighbours, most of which would fail, needn't be looked at. So no number of copies makes
+    all pairs, and no link between components is left out for the size of a region.
 
     A text without words or a null one is an empty set, linked with nothing; a null id is never
     linked and always kept; rows that share an id are one document with several texts, and only
@@ -321,7 +322,8 @@ def near_duplicates(
     near = settle(near.distinct(), "closest-pairs")
     first = settle(_chosen(near, 1), "first-pairs")
     release(spark)
-    crowded = settle(_crowded(forest.select("root", "id")), "crowded")
+    regions = settle(_crowded(forest.select("root")), "crowded-regions")
+    crowded = settle(forest.select("root", "id").join(regions, "root"), "crowded")
     ids = first.select(F.col("a").alias("id")).union(first.select("b")).union(crowded.select("id"))
     labels = settle(ids.distinct().withColumn("component", F.col("id")), "labels")
     texts = settle(_rows(docs, doc_id, text).join(labels.select(F.col("id").alias("doc_id")), "doc_id").dropDuplicates(["doc_id"]), "near-texts")
@@ -332,7 +334,7 @@ def near_duplicates(
     close = _renamed(_renamed(near, merged, "own"), merged, "other").where("own <> other")
     labels = unite(settle(_untried(close, first), "open-pairs"), labels, texts, width, percent)
     tried = near.select("a", "b")
-    again = forest.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    again = forest.join(regions, "root", "left_anti").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     rest = _untried(neighbours(again, percent).distinct(), tried)
     labels = unite(settle(rest, "open-pairs"), labels, texts, width, percent)
     release(spark)

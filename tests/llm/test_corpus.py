@@ -299,3 +299,16 @@ def test_closest_pairs_of_a_round_without_doubling_the_pairs(spark):
     assert {(r.a, r.b) for r in chosen.collect()} == {(1, 3), (2, 3), (2, 4)}
     assert "Generate" not in chosen._jdf.queryExecution().toString()
     assert {(r.a, r.b) for r in near_dedup._untried(pairs, chosen).collect()} == {(1, 2), (3, 4)}
+
+
+def test_crowded_regions_are_not_read_again(spark, monkeypatch):
+    base = prose(5, 90)
+    texts = [(k, edited(base, 0.06 + 0.0005 * k, 40 + k)) for k in range(60)]
+    read = []
+    plain = near_dedup.neighbours
+    monkeypatch.setattr(near_dedup, "neighbours", lambda forest, *a, **k: read.append(forest) or plain(forest, *a, **k))
+    found = near_dedup.near_duplicates(documents(spark, texts), width=2)
+    want, _ = near_components(texts, 2)
+    assert {r.doc_id: r.component_id for r in found.collect()} == want
+    fullest = [max(r["count"] for r in forest.groupBy("root").count().collect()) for forest in read]
+    assert fullest[0] > near_dedup.NEIGHBOURS + 1 >= fullest[1]
