@@ -97,3 +97,20 @@ def test_nulls_vectors_and_no_rows(spark):
     assert bo.HistogramBoosting(rounds=5, depth=2, rows=1.0, cols=1.0).fit(dense).losses == pytest.approx(model.losses)
     with pytest.raises(ValueError):
         bo.HistogramBoosting().fit(df.where(F.lit(False)))
+
+
+@pytest.mark.parametrize("leaves", [None, 4])
+def test_equal_rows_are_held_once_and_count_as_many(spark, rule, leaves):
+    x, y = rule
+    x, y = x[:60], y[:60]
+    df = table(spark, np.tile(x, (7, 1)), np.tile(y, 7)).repartition(4)
+    build = bo.HistogramBoosting(rounds=3, depth=2, rows=0.7, leaves=leaves)
+    rows = build._rows(df)
+    blocks = build._blocks(rows, build._edges(rows, 4, 420), 3).collect()
+    assert sum(len(b[2]) for b in blocks) == len(np.unique(np.column_stack([x, y]), axis=0))
+    assert sum(b[3].sum() for b in blocks) == 420
+    model = build.fit(df)
+    assert model.losses[0] == pytest.approx(np.log(3)) and model.losses[-1] < model.losses[0]
+    _, f, cut, low, _ = plain_first_split(np.tile(x, (7, 1)), np.tile(y, 7), 0, 3)
+    whole = bo.HistogramBoosting(rounds=1, depth=1, rows=1.0, cols=1.0, leaves=leaves and 2).fit(df).trees[0][0]
+    assert whole.feature[0] == f and whole.value[1] == pytest.approx(low)
