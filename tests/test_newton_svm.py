@@ -73,3 +73,14 @@ def test_closes_the_gap_where_planes_part_all_rows(spark):
     model = SquaredHingeSvm().fit(df)
     assert model.gaps[-1] < 1e-3 and len(model.gaps) < 40
     assert model.transform(df).where("prediction <> label").isEmpty()
+
+
+def test_equal_rows_are_held_once_and_count_as_many(spark, data):
+    x, y = data[0][:90], data[1][:90]
+    df = table(spark, np.tile(x, (6, 1)), np.tile(y, 6)).repartition(4)
+    blocks = SquaredHingeSvm._blocks(df.select(F.col("features").alias("x"), "label"), 3, 6).collect()
+    assert sum(len(b[0]) for b in blocks) == 90 and sum(b[2].sum() for b in blocks) == 540
+    model = SquaredHingeSvm(c=0.5, gap=1e-4).fit(df)
+    for c in range(3):
+        least = loss(best(x, y, c, 3.0), x, y, c, 3.0)  # six times the cost is six copies
+        assert least <= loss(model.weights[c], x, y, c, 3.0) <= least * 1.0002
