@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
@@ -210,3 +211,13 @@ def test_subword_training_without_words(spark):
     grams = ft.train_subword_vectors(df, "id", F.col("tokens"), size=8)
     pooled = ft.subword_pool(df, "id", F.col("tokens"), grams, 8).collect()
     assert grams.count() == 0 and all(r.features.toArray().tolist() == [0.0] * 8 for r in pooled)
+
+
+def test_mean_pool_adds_up_a_task_s_words_before_they_move(spark):
+    docs = spark.createDataFrame([(1, ["a", "b", "c", "c"]), (2, ["b", "d", "zz"]), (3, []), (4, None), (5, ["a"])], "id long, tokens array<string>")
+    rows = [("a", [1.0, 0.0]), ("b", [0.0, 2.0]), ("c", [4.0, 4.0]), ("d", [6.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "word string, v array<double>").select("word", array_to_vector("v").alias("vector"))
+    pooled = ft.mean_pool(docs, "id", F.col("tokens"), vectors, 2, hot=1)
+    got = {r.id: list(r.features) for r in pooled.collect()}
+    assert got == {1: [2.25, 2.5], 2: [3.0, 1.0], 3: [0.0, 0.0], 4: [0.0, 0.0], 5: [1.0, 0.0]}
+    assert pooled._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 3
