@@ -1,5 +1,7 @@
 """Neighbours over whole tables against brute force."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -78,3 +80,16 @@ def test_recall_counts_missing_pairs(spark):
     truth = spark.createDataFrame([(1, 2), (1, 3), (4, 5)], "id int, neighbour int")
     graph = spark.createDataFrame([(1, 2), (4, 9)], "id int, neighbour int")
     assert nb.recall_of(graph, truth).first().recall == pytest.approx(1 / 3)
+
+
+def test_many_cells_are_ranked_in_pieces():
+    rng = np.random.default_rng(6)
+    cells, rows = nb.Cells(nb._unit(rng.normal(size=(30_000, 8)))), rng.normal(size=(1024, 8))
+    tracemalloc.start()
+    near = cells.ranked(rows, 3)
+    home = cells.ranked(rows, 1)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 5 * 8 * nb.HELD  # all similarities alone are 246 MB
+    few = nb._unit(rows[:50]) @ cells.centroids.T
+    assert (near[:50] == np.argsort(-few, axis=1, kind="stable")[:, :3]).all() and (home[:, 0] == near[:, 0]).all()
