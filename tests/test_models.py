@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -87,6 +88,38 @@ def test_terms_are_counted_within_their_row(spark):
     assert "Exchange" not in plan and "Aggregate" not in plan
 
 
+def test_tasks_that_count_terms_hold_bounded_text_whatever_the_scan_splits(spark, monkeypatch):
+    monkeypatch.setattr(ft, "TASK_CHARS", 500, raising=False)
+    rows = [(i, " ".join(f"w{(i * j) % 97}" for j in range(30))) for i in range(400)] + [(400, None)]
+    docs = spark.createDataFrame(rows, "id int, t string").coalesce(1)
+    want = Counter(word for _, t in rows for word in (t or "").split())
+    held = Counter(word for _, t in rows for word in set((t or "").split()))
+    vocab = ft.tfidf_vocabulary(docs, "id", "t", max_features=50, max_df=1.0, ngrams=False)
+    first = sorted(want, key=lambda w: (-want[w], w))[:50]
+    assert [(r.term, r.df, r.total) for r in vocab.collect()] == [(w, held[w], want[w]) for w in first]
+
+    tasks = sum(len(t or "") for _, t in rows) // 500 + 1
+    totals = ft.term_totals(docs, "id", "t", F.split("t", " "))
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert f"), {tasks})" in plan and totals.rdd.getNumPartitions() == tasks // 4 > 4
+    placed = ft.placed_by(docs, "id", "t").withColumn("p", F.spark_partition_id())
+    most = placed.groupBy("p").agg(F.sum(F.length("t")).alias("n")).agg(F.max("n")).first()[0]
+    assert most < 10 * 500
+
+
+def test_vectors_need_no_shuffle_of_their_cells(spark):
+    """The cells of a row are put together where its terms were counted, and not stored between."""
+    docs = spark.createDataFrame([(1, "a a b"), (2, "a b"), (3, "")], "id int, t string")
+    vocab = ft.tfidf_vocabulary(docs, "id", "t", max_df=1.0, ngrams=False)
+    long = ft.tfidf_long(docs, "id", "t", vocab=vocab)
+    vectors = ft.sparse_vectors(long, docs, "id", ft.term_index(vocab), 2)
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(id#") == 2  # the texts, and the ids
+    own = ft.tfidf_long(docs, "id", "t", max_df=1.0, ngrams=False)
+    assert sorted(long.collect()) == sorted(own.collect())
+    assert {r.id: r.features.numNonzeros() for r in vectors.collect()} == {1: 2, 2: 2, 3: 0}
+
+
 def test_term_vectors_are_digested_without_filling_in_zeros(spark):
     rows = entry_point.queries()["e1_tfidf_vectors"](spark, "/root/testdata/sf0.001")
     plan = rows._jdf.queryExecution().analyzed().toString()
