@@ -254,3 +254,31 @@ def test_mean_pool_adds_up_a_task_s_words_before_they_move(spark):
     got = {r.id: list(r.features) for r in pooled.collect()}
     assert got == {1: [2.25, 2.5], 2: [3.0, 1.0], 3: [0.0, 0.0], 4: [0.0, 0.0], 5: [1.0, 0.0]}
     assert pooled._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 3
+
+
+def test_the_experiment_grid_trains_every_model_at_its_full_size(spark, monkeypatch):
+    from polyglint.bindings import models as bound
+
+    docs = spark.createDataFrame([(i, f"w{i % 3}", "en") for i in range(10)], "doc_id long, text string, lang string")
+    monkeypatch.setattr(bound, "_word2vec", lambda t: (docs, None))
+    monkeypatch.setattr(bound, "_subwords", lambda t: (docs, None))
+    monkeypatch.setattr(bound, "_pooled", lambda docs, words: "words")
+    monkeypatch.setattr(bound.ft, "subword_pool", lambda *a: "grams")
+    monkeypatch.setattr(bound, "_tfidf", lambda t, size=8000: ("terms", size))
+    monkeypatch.setattr(bound, "_dataset", lambda t, vectors: vectors)
+    grid = {}
+
+    def run_block(name, df, id_col, models, classes):
+        grid[name] = df, {model: build() for model, build in models.items()}
+        return docs.select("doc_id").limit(0)
+
+    monkeypatch.setattr(bound.cl, "run_block", run_block)
+    monkeypatch.setattr(bound.Tables, "documents", docs, raising=False)
+    entry_point.queries()["m13_experiment_grid"](spark, "/none")
+    assert {name: df for name, (df, _) in grid.items()} == {"TF-IDF": ("terms", 8000), "Word2Vec": "words", "Subword": "grams"}
+    for name, (_, models) in grid.items():
+        assert models["Logistic Regression"].getMaxIter() == 1000 and models["Linear SVM"].rounds == cl.linear_svm(8).rounds
+        assert (models["Boosted Trees"].rounds, models["Boosted Trees"].depth) == (300, 6)
+        assert (models["Boosted Trees (best first)"].rounds, models["Boosted Trees (best first)"].leaves) == (300, 63)
+        assert models["Perceptron"].getLayers() == [8000 if name == "TF-IDF" else 128, 512, 256, 128, 4]
+        assert models["Perceptron"].getMaxIter() == 20
