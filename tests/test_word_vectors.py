@@ -121,3 +121,14 @@ def test_a_step_equals_its_pairs_one_by_one():
         sums = 1e-8 + (sides[side] ** 2).mean(axis=1, keepdims=True)
         assert moved == pytest.approx(table - sides[side] * wv.RATE / np.sqrt(sums), abs=1e-5)
         assert tables.met[side] == pytest.approx(met[side], abs=1e-3)
+
+
+def test_a_table_in_few_splits_is_dealt_over_all_cores(spark):
+    from polyglint.session import dealt
+
+    cores = spark.sparkContext.defaultParallelism
+    lone, wide = spark.range(1000).coalesce(1), spark.range(1000).repartition(3 * cores)
+    rows = dealt(lone)
+    sizes = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert rows.rdd.getNumPartitions() == cores == len(sizes) and max(r["count"] for r in sizes) < 2000 / cores
+    assert {r.id for r in rows.collect()} == set(range(1000)) and dealt(wide) is wide
